@@ -50,10 +50,26 @@ def materialize(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
 
 
 def broadcast_if(df: DataFrame, n_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df``, to be broadcast if ``n_bytes``, which the caller measured, is within ``limit``."""
-    return F.broadcast(df) if n_bytes <= limit else df
+    """``df``, to be broadcast if ``n_bytes``, which the caller measured, is within ``limit``, else sort-merged.
+
+    The second hint keeps Spark from broadcasting on its own estimate, which ignores what explode adds.
+    """
+    return F.broadcast(df) if n_bytes <= limit else df.hint("merge")
 
 
 def ascii_lower(col):
     """A-Z to a-z, and nothing else."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def slices(batch, column: str, limit: int = 4 << 20):
+    """Cut a record batch so that no slice holds more than ``limit`` bytes of a text column, but one row at least."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    group = np.cumsum(sizes, dtype=np.int64) // limit
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if b > a:
+            yield batch.slice(a, b - a)

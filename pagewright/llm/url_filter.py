@@ -119,7 +119,7 @@ def filter_urls(
         exact = exact.withColumn("__may", F.lit(True))
         judged = probed.join(F.broadcast(exact), ["__key", "__may"], "left")
     else:
-        hits = probed.where("__may").join(exact, "__key", "left")
+        hits = probed.where("__may").join(exact.hint("merge"), "__key", "left")
         judged = probed.where("not __may").withColumn("__hit", F.lit(None).cast("boolean")).unionByName(hits)
     in_list = F.coalesce(F.col("__hit"), F.lit(False))
     return judged.select(
