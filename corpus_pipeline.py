@@ -1 +1,83 @@
-"""later"""
+"""The corpus pipeline: five stages over documents, each written as Parquet and read back.
+
+Each stage takes (spark, docs, sf_dir). All but the last return the columns of their input and drop the
+documents they reject; the last returns packed pieces.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pagewright.llm import decontam, host_rules, lang_id, packing, simhash
+from pagewright.llm.common import materialize, table
+from pagewright.llm.queries import tokenizer_path
+
+#: A document is rejected if its text is in no learned language, or hardly like any.
+LEAST_LANGUAGE_SCORE = 0.05
+
+
+def _with_free_names(docs: DataFrame, taken: tuple[str, ...]) -> DataFrame:
+    """``docs`` with the names that an operator adds set aside."""
+    return docs.withColumnsRenamed({c: f"__own_{c}" for c in taken if c in docs.columns})
+
+
+def _as_before(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from ``rows``."""
+    return rows.select(*(F.col(f"__own_{c}").alias(c) if f"__own_{c}" in rows.columns else F.col(c) for c in docs.columns))
+
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    rows = _with_free_names(docs, ("held_out", "lang_pred", "score"))
+    model = lang_id.fit_prototypes(rows.select("doc_id", "text", "lang").where(~lang_id.held_out(F.col("doc_id"))))
+    judged = lang_id.identify(rows, *model, keep=tuple(rows.columns))
+    return _as_before(judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)), docs)
+
+
+def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    whole = docs.select(F.struct("*").alias("row"), "text", "source")
+    return host_rules.apply_host_rules(spark, whole).where("kept").select("row.*")
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The row of smallest doc_id stays of each group; rows are told apart by a number of their own."""
+    rows = materialize(spark, docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("rid")), "pipeline-rows")
+    groups = simhash.near_duplicates(spark, rows.select(F.col("rid").alias("doc_id"), F.col("row.text").alias("text")))
+    order = F.struct(F.col("id").isNull(), "id", "rid")
+    first = (
+        rows.select("rid", F.col("row.doc_id").alias("id"))
+        .join(groups.select(F.col("doc_id").alias("rid"), "component_id").hint("merge"), "rid")
+        .groupBy("component_id")
+        .agg(F.min(order)["rid"].alias("rid"))
+    )
+    return rows.join(first.select("rid").hint("shuffle_hash"), "rid", "left_semi").select("row.*")
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = decontam.find_leaks(spark, _with_free_names(docs, ("item_ids",)), table(spark, sf_dir, "benchmark"))
+    return _as_before(found.where(F.size("item_ids") == 0), docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, docs, tokenizer_path()).withColumn("ids_crc32", F.crc32("ids"))
+
+
+STAGES = [
+    ("language_id", keep_known_languages),
+    ("quality_rules", keep_good_quality),
+    ("near_dedup", keep_one_of_each_group),
+    ("decontamination", drop_contaminated),
+    ("packing", pack),
+]
+
+#: The models and the tokenizer have no SQL form; tests hold the stages against brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = materialize(spark, docs, f"pipeline-{name}")
+    return docs

@@ -109,12 +109,22 @@ class Profiler:
         return letters, seen[points]
 
 
+_kept: dict[int, Profiler] = {}
+
+
+def profiler_of(dimensions: int) -> Profiler:
+    """The worker's profiler, which later tasks of the same worker find ready."""
+    if dimensions not in _kept:
+        _kept[dimensions] = Profiler(dimensions)
+    return _kept[dimensions]
+
+
 def _bundle(dimensions: int):
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        profiler, sums = Profiler(dimensions), {}
+        profiler, sums = profiler_of(dimensions), {}
         for whole in batches:
             for batch in slices(whole, "text", SLICE_BYTES):
                 vectors, some = profiler.vectors(batch.column("text").to_pylist())
@@ -159,19 +169,19 @@ def _predict(langs: list[str], prototypes):
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        profiler = Profiler(prototypes.shape[1])
+        profiler = profiler_of(prototypes.shape[1])
         names = np.array([*langs, "und"], dtype=object)
         for whole in batches:
-            for batch in slices(whole, "text", SLICE_BYTES):
-                vectors, some = profiler.vectors(pc.fill_null(batch.column("text"), "").to_pylist())
+            for batch in slices(whole, "__text", SLICE_BYTES):
+                vectors, some = profiler.vectors(pc.fill_null(batch.column("__text"), "").to_pylist())
                 if len(langs):
                     near = vectors @ prototypes.T
                     best = np.where(some, near.argmax(axis=1), len(langs))
                     score = np.where(some, np.clip(near.max(axis=1), 0, 1), 0)
                 else:
                     best, score = np.zeros(len(some), dtype=np.int64), np.zeros(len(some))
-                kept = [batch.column(i) for i in range(batch.num_columns) if batch.schema.names[i] != "text"]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(names[best].tolist(), pa.string()), pa.array(score.astype(np.float64))], names=[*(x for x in batch.schema.names if x != "text"), "lang_pred", "score"])
+                kept = [batch.column(i) for i in range(batch.num_columns) if batch.schema.names[i] != "__text"]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(names[best].tolist(), pa.string()), pa.array(score.astype(np.float64))], names=[*(x for x in batch.schema.names if x != "__text"), "lang_pred", "score"])
 
     return run
 
@@ -181,7 +191,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def identify(docs: DataFrame, langs: list[str], prototypes) -> DataFrame:
-    """doc_id, held_out, lang_pred, score of each row, from its text alone."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_predict(langs, prototypes), "doc_id bigint, held_out boolean, lang_pred string, score double")
+def identify(docs: DataFrame, langs: list[str], prototypes, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` with held_out, lang_pred and score of each row, from its text alone.
+
+    Kept columns of these three names are replaced.
+    """
+    rows = docs.select(*(c for c in keep if c not in ("held_out", "lang_pred", "score")), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("__text"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    return rows.mapInArrow(_predict(langs, prototypes), f"{schema}, lang_pred string, score double")
