@@ -46,6 +46,14 @@ def furniture_counts(documents: DataFrame, classified: DataFrame) -> DataFrame:
     return documents.select("doc_id").join(counts, "doc_id", "left").select("doc_id", zero("removed_header"), zero("removed_footer"))
 
 
+def reread(lines: DataFrame) -> DataFrame:
+    """The lines that their text, joined and cut again, would have: without an empty last line, or a carriage return before a line feed."""
+    line, last = F.col("line"), F.col("__last")
+    rows = lines.withColumn("__last", F.lead(F.lit(1)).over(in_doc()).isNull()).where(~(last & (line == "")))
+    cut = F.when(~last & line.endswith("\r"), F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
+    return rows.withColumn("line", cut).drop("__last")
+
+
 def join_soft_wraps(lines: DataFrame, rules: P.RuleSet = P.DEFAULT_RULES) -> DataFrame:
     """Lines after one that ends in an ASCII letter or digit, and is no heading, continue it with a blank."""
     line = F.col("line")
@@ -55,11 +63,7 @@ def join_soft_wraps(lines: DataFrame, rules: P.RuleSet = P.DEFAULT_RULES) -> Dat
     piece = F.when(F.col("__on"), X.trim_start(line)).otherwise(line)
     rows = rows.groupBy("doc_id", "__group").agg(X.joined(F.col("line_no"), piece, " ").alias("line"))
     rows = rows.select("doc_id", F.col("__group").alias("line_no"), "line")
-    # Joined as a text, an empty last line would go, and every line's trailing carriage return with its line feed.
-    last = F.lead(F.lit(1)).over(in_doc()).isNull()
-    rows = rows.withColumn("__last", last).where(~(F.col("__last") & (line == "")))
-    cut = F.when(~F.col("__last") & line.endswith("\r"), F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
-    return rows.select("doc_id", (F.col("line_no") - 1).cast("int").alias("line_no"), cut.alias("line"))
+    return reread(rows.withColumn("line_no", (F.col("line_no") - 1).cast("int")))
 
 
 def merge_stray_marks(lines: DataFrame, rules: P.RuleSet = P.DEFAULT_RULES) -> DataFrame:

@@ -34,7 +34,8 @@ def _suppressed(pages: DataFrame, cfg: SuppressorConfig, rules: P.RuleSet) -> Da
         F.array_sort(F.collect_list(F.when(dropped & (F.col("drop_rank") <= cfg.sample), F.struct("line_idx", X.trim(F.col("line")).alias("line"))))).alias("s"),
     )
     every = pages.select("doc_id", "page_idx").join(by_page, ["doc_id", "page_idx"], "left")
-    sample = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("page_idx", "s"))), lambda p: F.transform(p["s"], lambda x: x["line"])))
+    by_order = F.array_sort(F.collect_list(F.when(F.col("s").isNotNull(), F.struct("page_idx", "s"))))
+    sample = F.flatten(F.transform(by_order, lambda p: F.transform(p["s"], lambda x: x["line"])))
     zero = F.lit(0).cast("bigint")
     return every.groupBy("doc_id").agg(
         X.joined(F.col("page_idx"), F.coalesce("text", F.lit(""))).alias("text"),
@@ -63,7 +64,7 @@ def structured(pages: DataFrame, cfg: PipelineConfig = PipelineConfig(), overrid
     kept = classified.where(F.col("class") == "text").drop("class")
     lines = cleanup.normalise_lists(cleanup.merge_stray_marks(cleanup.join_soft_wraps(kept, cfg.rules), cfg.rules))
     k = F.col("kind")
-    documents = structure.promote_headings(lines).groupBy("doc_id").agg(
+    documents = structure.promote_headings(cleanup.reread(lines)).groupBy("doc_id").agg(
         X.joined(F.col("line_no"), F.col("line")).alias("markdown"),
         F.count_if(k == "bab").alias("bab"), F.count_if(k == "pasal").alias("pasal"),
         *[F.bool_or(k == x).alias(x) for x in ("menimbang", "mengingat", "penjelasan")],

@@ -47,13 +47,13 @@ def _soft(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _promoted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return structure.promote_headings(cleanup.normalise_lists(cleanup.merge_stray_marks(_soft(spark, sf_dir))))
+    return structure.promote_headings(cleanup.reread(cleanup.normalise_lists(cleanup.merge_stray_marks(_soft(spark, sf_dir)))))
 
 
 def _raw_and_markdown(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Merged text without the suppressor, and its Markdown."""
     raw = merge.merge_pages(legal_pages(spark, sf_dir))
-    return raw, cleanup.to_documents(raw, structure.promote_headings(cleanup.cleanup_lines(raw)[0]))
+    return raw, cleanup.to_documents(raw, structure.promote_headings(cleanup.reread(cleanup.cleanup_lines(raw)[0])))
 
 
 def _report(pages: DataFrame) -> DataFrame:
