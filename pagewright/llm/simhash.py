@@ -282,6 +282,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: int = 4, wi
     firsts = members.join(distinct.hint("merge"), F.col("node") == F.col("fp")).groupBy("root").agg(F.min("first").alias("component_id"))
     classes = members.join(firsts.hint("merge"), "root").select(F.col("node").alias("fp"), "component_id", F.lit(True).alias("linked"))
     of = distinct.join(classes.hint("merge"), "fp", "left").select("fp", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("first")).alias("component_id"))
+    of = materialize(spark, of, "simhash-classes")  # so that the last join reads two plain shuffles, which a hot key's rows may split
     return marked.join(of.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
