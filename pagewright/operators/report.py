@@ -16,6 +16,11 @@ def parse_ground_truth(lines: DataFrame, column: str = "value") -> DataFrame:
     return rows.select(F.regexp_extract(line, r"^\s*([^: ]+):", 1).alias("doc_id"), number("bab"), number("pasal")).where("doc_id <> ''")
 
 
+def ground_truth_lines(counts: DataFrame) -> DataFrame:
+    """doc_id, value: counts in the form that :func:`parse_ground_truth` reads."""
+    return counts.select("doc_id", F.concat("doc_id", F.lit(": { bab: "), F.col("bab").cast("string"), F.lit(", pasal: "), F.col("pasal").cast("string"), F.lit(" }")).alias("value"))
+
+
 def accuracy(found: Column, expected: Column) -> Column:
     """1 less the relative error; with nothing expected, 1 if nothing was found, else 0."""
     return F.when(expected == 0, F.when(found == 0, 1.0).otherwise(0.0)).otherwise(1.0 - F.abs(found - expected) / expected)

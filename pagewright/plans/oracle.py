@@ -227,6 +227,8 @@ SQL = {
     "ground_truth_parse": """SELECT regexp_extract(value, '^\\s*([^: ]+):', 1) AS doc_id, coalesce(try_cast(regexp_extract(value, 'bab:\\s*([0-9]+)', 1) AS BIGINT), 0) AS bab, coalesce(try_cast(regexp_extract(value, 'pasal:\\s*([0-9]+)', 1) AS BIGINT), 0) AS pasal
         FROM (SELECT source || '-' || doc_id || ': { bab: ' || n_chars || CASE WHEN doc_id % 3 = 0 THEN '' ELSE ', pasal: ' || doc_id END || ' }' AS value FROM documents UNION ALL SELECT '# comment' UNION ALL SELECT '')
         WHERE NOT starts_with(value, '#') AND value <> '' AND regexp_extract(value, '^\\s*([^: ]+):', 1) <> ''""",
+    "ground_truth_lines": FULL
+    + f" SELECT doc_id, doc_id || ': {{ bab: ' || count(*) FILTER ({rx('line', P.MD_CHAPTER)}) || ', pasal: ' || count(*) FILTER ({rx('line', P.MD_ARTICLE)}) || ' }}' AS value FROM promoted GROUP BY doc_id",
     "acceptance_report": f"""{FULL}, {SUSPECTS}, covered AS (SELECT *, 1.0 - len(suspect_pages)::DOUBLE / page_count AS share FROM summed)
         SELECT doc_id, page_count AS pages, len(suspect_pages)::INTEGER AS suspect, 0 AS ocr_run, share AS coverage_pages, 0::BIGINT AS p95_ms_per_page, leak_rate AS leak, split_violations AS split, 'NA' AS cache_hit_txt, 'NA' AS cache_hit_img,
                CASE WHEN len(suspect_pages) > 0 THEN 'OCRNoRunPages,CoveragePagesLow' ELSE '' END AS reasons, CASE WHEN len(suspect_pages) > 0 THEN 'FAIL' ELSE 'PASS' END AS status

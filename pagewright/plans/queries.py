@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +14,7 @@ from pagewright.plans.pipeline import document_meta, structured
 from pagewright.schema import PipelineConfig, SuppressorConfig
 from pagewright.sources.documents import split_form_feeds
 from pagewright.sources.emit import meta_json, read_meta
+from pagewright.sources.shared import new_path
 from pagewright.streaming.documents import documents_of_batch, merged_batches, read_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -292,6 +289,12 @@ def ground_truth_parse(spark, sf_dir):
     return report.parse_ground_truth(lines.unionByName(spark.sql("SELECT * FROM VALUES ('# comment'), ('') AS t(value)")))
 
 
+@query
+def ground_truth_lines(spark, sf_dir):
+    """Ground truth frozen from the Markdown of a run."""
+    return report.ground_truth_lines(markdown_counts(spark, sf_dir))
+
+
 @query
 def acceptance_report(spark, sf_dir):
     """Metrics of the derived corpus with the page sizes of the conversations, so that some pages are suspect."""
@@ -317,13 +320,7 @@ def meta_read(spark, sf_dir):
 @query
 def stream_structure_counts(spark, sf_dir):
     """Structure counts of a file stream of conversations, all that is there in one batch."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        shared = tempfile.mkdtemp(prefix="pagewright-stream-")
-        atexit.register(shutil.rmtree, shared, ignore_errors=True)
-    folder = f"{shared.rstrip('/')}/{spark.sparkContext.applicationId}/stream-{uuid.uuid4().hex}"
+    folder = new_path(spark, "stream")
     path = f"{sf_dir}/conversations.parque[t]"  # a pattern may match one file as well as a folder
     source = read_pages(spark, path, read(spark, sf_dir, "conversations").schema)
 

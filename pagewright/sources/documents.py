@@ -6,16 +6,16 @@ import re
 import shutil
 import subprocess
 import tempfile
+import time
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.functions import text as X
-from pagewright.functions.patterns import java
 from pagewright.operators.slugs import base_name, with_unique_slugs
 
-EXTRACTED = "doc_id string, page_idx int, text string, error string"
+EXTRACTED = "doc_id string, page_idx int, text string, error string, started_ms bigint, finished_ms bigint"
 
 GUIDANCE = "No PDF at {path}. Suggested layout: ./input/uu/..., ./input/pp/..., ./input/permen/..., ./input/perwali/...; for example ./input/uu/NUMBER-YEAR.pdf"
 
@@ -96,19 +96,22 @@ def poppler(content: bytes, layout: bool = True, nopgbrk: bool = True, timeout:
 
 
 def extract_pages(files: DataFrame, extractor: Extractor = poppler) -> DataFrame:
-    """doc_id, page_idx, text, error from files (doc_id, content); a file that fails is one row with an error and no page."""
+    """doc_id, page_idx, text, error and times from files (doc_id, content); a file that fails is one row with an error and no page."""
 
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
 
+        now = lambda: int(time.time() * 1000)
         for pdf in batches:
             out = []
             for doc_id, content in zip(pdf.doc_id, pdf.content, strict=True):
+                start = now()
                 try:
-                    out += [(doc_id, i, t, None) for i, t in enumerate(extractor(content))]
+                    pages = extractor(content)
+                    out += [(doc_id, i, t, None, start, now()) for i, t in enumerate(pages)]
                 except ExtractionError as e:
-                    out.append((doc_id, None, None, str(e)))
-            frame = pd.DataFrame(out, columns=["doc_id", "page_idx", "text", "error"])
+                    out.append((doc_id, None, None, str(e), start, now()))
+            frame = pd.DataFrame(out, columns=["doc_id", "page_idx", "text", "error", "started_ms", "finished_ms"])
             frame["page_idx"] = frame["page_idx"].astype("Int32")
             yield frame
 
@@ -119,5 +122,6 @@ def good_pages(extracted: DataFrame) -> DataFrame:
     return extracted.where(F.col("error").isNull()).select("doc_id", "page_idx", "text")
 
 
-def strip_carriage_returns(text: Column) -> Column:
-    return F.regexp_replace(text, java(r"\r(?=\n)"), "")
+def timings(extracted: DataFrame) -> DataFrame:
+    """doc_id, started_ms, finished_ms of each document."""
+    return extracted.groupBy("doc_id").agg(F.min("started_ms").alias("started_ms"), F.max("finished_ms").alias("finished_ms"))
