@@ -1,7 +1,8 @@
 """Connected components of a link table, by rounds of large-star and small-star joins.
 
 Each round is two partial aggregations (the smallest neighbour of a node) and two joins, written to the
-shared folder. Hubs are safe: a minimum combines before the shuffle, and the joins may be split.
+shared folder. Hubs are safe: a minimum combines before the shuffle; the minima are written before they
+are joined, so that both sides of a join are plain shuffles, which adaptive execution may split.
 """
 
 from __future__ import annotations
@@ -12,8 +13,10 @@ from pyspark.sql import functions as F
 from pagewright.llm.common import materialize
 
 
-def _smallest(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+def _with_smallest(spark: SparkSession, edges: DataFrame, label: str) -> DataFrame:
+    """``edges`` with m, the smallest of u and its neighbours."""
+    smallest = materialize(spark, edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), label)
+    return edges.join(smallest.hint("merge"), "u")
 
 
 def connected_components(spark: SparkSession, links: DataFrame, label: str = "components") -> DataFrame:
@@ -29,8 +32,8 @@ def connected_components(spark: SparkSession, links: DataFrame, label: str = "co
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = state
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(_smallest(both).hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = _with_smallest(spark, both, label).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = materialize(spark, large, label)
-        small = large.join(_smallest(large).hint("merge"), "u")
+        small = _with_smallest(spark, large, label)
         small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).distinct()
         edges = materialize(spark, small, label)
