@@ -39,8 +39,23 @@ MD_CHAPTER = r"^##\s+BAB\s+[IVXLCDM]+"
 MD_ARTICLE = r"^##\s+Pasal\s+\d+"
 
 
+# The characters with the Unicode property White_Space, in the notation of a class.
+SPACES = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+#: A class of them without the line feed, for patterns over whole texts.
+IN_LINE = r"[\t\x{b}-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
 def java(body: str, ignore_case: bool = False) -> str:
-    return f"(?{'i' if ignore_case else ''}dU){body}"
+    """A body for Spark. ``\\s`` is spelt out, since a listed class is quicker than a Unicode-aware one."""
+    return f"(?{'i' if ignore_case else ''}dU){body.replace(chr(92) + 's', f'[{SPACES}]')}"
+
+
+def _any(line: Column, bodies: tuple[tuple[str, bool], ...]) -> Column:
+    """Whether one of the patterns fits. Each is anchored and tried once, at the line's start."""
+    fits = matches(line, *bodies[0])
+    for body, ignore_case in bodies[1:]:
+        fits = fits | matches(line, body, ignore_case)
+    return fits
 
 
 @dataclass(frozen=True)
@@ -55,14 +70,11 @@ class RuleSet:
     footers: tuple[tuple[str, bool], ...] = ((DASHED_NUMBER, False), (PAGE_WORD, True))
     strict_roman: bool = False
 
-    def _any(self, line: Column, bodies: tuple[tuple[str, bool], ...]) -> Column:
-        return line.rlike("|".join(f"(?:{java(b, i)})" for b, i in bodies))
-
     def header(self, line: Column) -> Column:
-        return self._any(line, tuple((b, True) for b in self.headers))
+        return _any(line, tuple((b, True) for b in self.headers))
 
     def footer(self, line: Column) -> Column:
-        return self._any(line, self.footers)
+        return _any(line, self.footers)
 
     def heading(self, line: Column) -> Column:
         return line.rlike(java(LEGAL_HEADING_STRICT if self.strict_roman else LEGAL_HEADING, True))

@@ -5,24 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.functions.patterns import java
+from pagewright.functions.patterns import SPACES
+
+
+#: The characters of ``patterns.SPACES``.
+SPACE_CHARS = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def trim(x: Column) -> Column:
-    return F.regexp_replace(x, java(r"^\s+|\s+$"), "")
+    return F.trim(x, F.lit(SPACE_CHARS))
 
 
 def trim_start(x: Column) -> Column:
-    return F.regexp_replace(x, java(r"^\s+"), "")
+    return F.ltrim(x, F.lit(SPACE_CHARS))
 
 
 def trim_end(x: Column) -> Column:
-    return F.regexp_replace(x, java(r"\s+$"), "")
+    return F.rtrim(x, F.lit(SPACE_CHARS))
 
 
 def collapse(x: Column) -> Column:
-    """Runs of white space as one blank."""
-    return F.regexp_replace(x, java(r"\s+"), " ")
+    """Runs of white space as one blank; single blanks are left as they are."""
+    return F.regexp_replace(x, f"[{SPACES}]{{2,}}|[{SPACES}&&[^ ]]", " ")
 
 
 def normal(x: Column) -> Column:
@@ -31,15 +35,15 @@ def normal(x: Column) -> Column:
 
 def visible_length(x: Column) -> Column:
     """Code points that are not white space."""
-    return F.length(F.regexp_replace(x, java(r"\s"), "")).cast("bigint")
+    return F.length(F.regexp_replace(x, f"[{SPACES}]+", "")).cast("bigint")
 
 
 def lines(text: Column) -> Column:
     """The lines of a text: cut at line feeds, without a carriage return before one, and without an empty last part."""
-    parts = F.split(text, "\n", -1)
-    last = F.size(parts) - 1
-    parts = F.transform(parts, lambda x, i: F.when((i < last) & x.endswith("\r"), F.substring(x, F.lit(1), F.length(x) - 1)).otherwise(x))
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
+    # All on the text itself: a lambda that looked at another part would split it again for each line.
+    plain = F.replace(text, F.lit("\r\n"), F.lit("\n"))
+    body = F.when(plain.endswith("\n"), F.substring(plain, F.lit(1), F.length(plain) - 1)).otherwise(plain)
+    return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(body, "\n", -1))
 
 
 def explode_lines(df: DataFrame, text: str, keys: list[str]) -> DataFrame:

@@ -4,6 +4,10 @@ Each step takes and gives ordered line rows (doc_id, line_no, line). What looks
 has a closed form: joining a soft wrap depends on the kept line before (``lag``), and taking the line
 behind a stray mark depends on the parity of a run (a running maximum). All windows share the
 partitioning by document that merging left behind.
+
+``clean_whole`` does the same inside the row of a document, for plans that need no lines as rows: arrays
+of lines for what depends on a neighbour, and replacements over the text for what consumes the next line,
+since matches do not overlap and go from left to right.
 """
 
 from __future__ import annotations
@@ -107,3 +111,45 @@ def to_documents(documents: DataFrame, lines: DataFrame, name: str = "text") ->
     """doc_id and the lines as one text; documents without lines stay, as empty."""
     text = lines.groupBy("doc_id").agg(X.joined(F.col("line_no"), F.col("line")).alias(name))
     return documents.select("doc_id").join(text, "doc_id", "left").select("doc_id", F.coalesce(name, F.lit("")).alias(name))
+
+
+#: What may start a header or footer; a quick test before the patterns themselves.
+FURNITURE_START = r"^\s*[PpKk\x{212a}TtLlHh\p{Nd}\x{2012}\x{2013}\x{2014}\x{2212}\-]"
+_HEADING_AHEAD = f"(?!(?i:BAB{P.IN_LINE}+[IVXLCDM]|Pasal{P.IN_LINE}+\\p{{Nd}}+|Menimbang:?|Mengingat:?|PENJELASAN)\\b)"
+_HEADING_AHEAD_STRICT = _HEADING_AHEAD.replace("[IVXLCDM]", "[IVXLCDM]+")
+
+
+def stray_mark(rules: P.RuleSet) -> str:
+    """A lone mark with its line feed, and the next line's indent and first character, if that is neither blank nor a heading.
+
+    The character is part of the match, so that the line that was taken is no start of another match.
+    """
+    ahead = _HEADING_AHEAD_STRICT if rules.strict_roman else _HEADING_AHEAD
+    return f"(?mdU)^{P.IN_LINE}*(\\(\\p{{Nd}}+\\)|[0-9]+\\.|[a-z]\\.){P.IN_LINE}*\n{ahead}{P.IN_LINE}*([^{P.SPACES}])"
+
+
+def clean_whole(documents: DataFrame, rules: P.RuleSet = P.DEFAULT_RULES) -> DataFrame:
+    """``documents`` with text replaced by the array ``lines`` of cleaned lines, as they are read again, and the counters."""
+    broken = P.java(P.BROKEN_WORD)
+    rows = documents.withColumns({"hyphens_fixed": F.regexp_count("text", F.lit(broken)).cast("bigint"), "text": F.regexp_replace("text", broken, "$1$2")})
+
+    def kind(x):
+        may = P.matches(x, FURNITURE_START)
+        header = may & rules.header(x)
+        return F.when(~may, 0).when(header, 1).when(rules.footer(x) | P.matches(x, P.BARE_NUMBER_3), 2).otherwise(0)
+
+    if rules != P.DEFAULT_RULES:  # other profiles may have other starts
+        kind = lambda x: F.when(rules.header(x), 1).when(rules.footer(x) | P.matches(x, P.BARE_NUMBER_3), 2).otherwise(0)
+    rows = rows.withColumn("__marked", F.transform(X.lines(F.col("text")), lambda x: F.struct(x.alias("line"), kind(x).alias("kind"))))
+    of = lambda k: F.size(F.filter("__marked", lambda x: x["kind"] == k)).cast("bigint")
+    # Each kept line with whether the next one continues it.
+    wraps = lambda x: P.matches(x, r"[0-9A-Za-z]\s*$") & ~rules.heading(x)
+    kept = F.transform(F.filter("__marked", lambda x: x["kind"] == 0), lambda x: F.struct(x["line"].alias("line"), wraps(x["line"]).alias("on")))
+    rows = rows.withColumns({"removed_header": of(1), "removed_footer": of(2), "__kept": kept}).drop("__marked", "text")
+    on = lambda i: F.coalesce(F.get(F.col("__kept"), i - 1)["on"], F.lit(False))
+    piece = lambda x, i: F.when(on(i), F.concat(F.lit(" "), X.trim_start(x["line"]))).when(i == 0, x["line"]).otherwise(F.concat(F.lit("\n"), x["line"]))
+    rows = rows.withColumn("__text", F.array_join(X.lines(F.array_join(F.transform("__kept", piece), "")), "\n")).drop("__kept")
+    text = F.regexp_replace("__text", stray_mark(rules), "$1 $2")
+    text = F.regexp_replace(text, f"(?md)^{P.IN_LINE}*([a-z])\\.{P.IN_LINE}+", "- ($1 )")
+    text = F.regexp_replace(text, f"(?md)^{P.IN_LINE}*\\p{{Nd}}+\\.{P.IN_LINE}+", "1. ")
+    return rows.withColumn("lines", X.lines(text)).drop("__text")

@@ -2,34 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.functions import patterns as P
 
 
-def promote_headings(lines: DataFrame) -> DataFrame:
-    """Lines with kind (menimbang, mengingat, bab, pasal, penjelasan, subheading or text) and Markdown for headings."""
-    line = F.col("line")
-    group = lambda body, k: F.regexp_extract(line, P.java(body), k)
-    kind = (
-        F.when(P.matches(line, P.PREAMBLE), F.lower(group(P.PREAMBLE, 1)))
+#: What may start a heading; a quick test before the patterns themselves.
+HEADING_START = r"^\s*[MBPIVX]"
+
+
+def kind_of(line: Column) -> Column:
+    """menimbang, mengingat, bab, pasal, penjelasan, subheading or text."""
+    return (
+        F.when(~P.matches(line, HEADING_START), "text")
+        .when(P.matches(line, P.PREAMBLE), F.lower(F.regexp_extract(line, P.java(P.PREAMBLE), 1)))
         .when(P.matches(line, P.CHAPTER), "bab")
         .when(P.matches(line, P.ARTICLE), "pasal")
         .when(P.matches(line, P.ELUCIDATION), "penjelasan")
         .when(P.matches(line, P.ROMAN_TITLE), "subheading")
         .otherwise("text")
     )
-    k = F.col("kind")
-    new = (
-        F.when(k.isin("menimbang", "mengingat"), F.concat(F.lit("## "), group(P.PREAMBLE, 1)))
-        .when(k == "bab", F.concat(F.lit("## BAB "), group(P.CHAPTER, 1), group(P.CHAPTER, 2)))
-        .when(k == "pasal", F.concat(F.lit("## Pasal "), group(P.ARTICLE, 1)))
-        .when(k == "penjelasan", F.lit("## PENJELASAN"))
-        .when(k == "subheading", F.concat(F.lit("### "), group(P.ROMAN_TITLE, 1), F.lit(". "), group(P.ROMAN_TITLE, 2)))
-        .otherwise(line)
+
+
+def markdown_of(line: Column, kind: Column) -> Column:
+    group = lambda body, k: F.regexp_extract(line, P.java(body), k)
+    return (
+        F.when(kind == "text", line)
+        .when(kind.isin("menimbang", "mengingat"), F.concat(F.lit("## "), group(P.PREAMBLE, 1)))
+        .when(kind == "bab", F.concat(F.lit("## BAB "), group(P.CHAPTER, 1), group(P.CHAPTER, 2)))
+        .when(kind == "pasal", F.concat(F.lit("## Pasal "), group(P.ARTICLE, 1)))
+        .when(kind == "penjelasan", F.lit("## PENJELASAN"))
+        .otherwise(F.concat(F.lit("### "), group(P.ROMAN_TITLE, 1), F.lit(". "), group(P.ROMAN_TITLE, 2)))
     )
-    return lines.withColumn("kind", kind).withColumn("line", new)
+
+
+def promote_headings(lines: DataFrame) -> DataFrame:
+    """Lines with their kind, and Markdown in place of headings."""
+    rows = lines.withColumn("kind", kind_of(F.col("line")))
+    return rows.withColumn("line", markdown_of(F.col("line"), F.col("kind")))
 
 
 def structure_counts(documents: DataFrame, promoted: DataFrame) -> DataFrame:

@@ -1,13 +1,13 @@
 """Suppression of lines that recur at the top or bottom of a document's pages.
 
 Pages are (doc_id, page_idx, text). Lines become rows; frequencies are a partial and a final hash
-aggregation by document and line; candidates join back; a running count over a page's drops caps what a
-page may lose.
+aggregation by document and line, or a window where the lines themselves are wanted; a running count over
+a page's drops caps what a page may lose.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions import patterns as P
@@ -28,11 +28,16 @@ def line_frequencies(pages: DataFrame, rules: P.RuleSet = P.DEFAULT_RULES) -> Da
     )
 
 
+def least_count(cfg: SuppressorConfig, n_pages: Column) -> Column:
+    """The number of occurrences that make a line repeated: the ratio of the pages, rounded up, one at least."""
+    num, den = cfg.ratio.numerator, cfg.ratio.denominator
+    return F.greatest(F.lit(1), F.floor((F.lit(num) * F.greatest(F.lit(1), n_pages) + F.lit(den - 1)) / F.lit(den)))
+
+
 def candidates(pages: DataFrame, cfg: SuppressorConfig = SuppressorConfig(), rules: P.RuleSet = P.DEFAULT_RULES) -> DataFrame:
     """doc_id, norm of the lines that recur often enough, at an edge of the page at least every other time."""
     counts = pages.groupBy("doc_id").agg(F.count("*").alias("__pages"))
-    num, den = cfg.ratio.numerator, cfg.ratio.denominator
-    least = F.greatest(F.lit(1), F.floor((F.lit(num) * F.greatest(F.lit(1), F.col("__pages")) + F.lit(den - 1)) / F.lit(den)))
+    least = least_count(cfg, F.col("__pages"))
     rows = line_frequencies(pages, rules).join(counts, "doc_id")
     size = F.octet_length("norm")
     often = (F.col("c") >= least) & size.between(cfg.min_bytes, cfg.max_bytes)
@@ -44,15 +49,31 @@ def classified_lines(pages: DataFrame, cfg: SuppressorConfig = SuppressorConfig(
 
     ``drop`` is the decision after rescue by ``keep_lines``; the first ``most_per_page`` drops of a page
     take effect. Lines are right-trimmed.
+
+    Pages are dealt by document once, before they become lines; counting a line within its document and
+    ranking drops within their page are windows on that partitioning. (``candidates`` gives the repeated
+    lines by themselves, as an aggregation.)
     """
-    rows = page_lines(pages).withColumns({"line": X.trim_end(F.col("line"))}).withColumn("norm", X.normal(F.col("line")))
-    rows = rows.join(candidates(pages, cfg, rules).withColumn("__repeated", F.lit(True)), ["doc_id", "norm"], "left")
-    line, repeated = F.col("line"), F.coalesce("__repeated", F.lit(False))
+    in_document = Window.partitionBy("doc_id")
+    # A number keeps adaptive execution from joining partitions that are small in bytes but long to work on.
+    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = pages.select("doc_id", "page_idx", "text").repartition(n, "doc_id").withColumn("__pages", F.count("*").over(in_document))
+    rows = X.explode_lines(rows, "text", ["doc_id", "page_idx", "__pages"]).withColumn("line", X.trim_end(F.col("line")))
+    # Blank lines and headings are never repeated lines; they have no norm to be counted by.
+    norm = X.normal(F.col("line"))
+    rows = rows.withColumn("__norm", norm).withColumn("__norm", F.when((F.col("__norm") != "") & ~rules.heading(F.col("__norm")), F.col("__norm")))
+    same = Window.partitionBy("doc_id", "__norm")
+    c, t, b = F.count("*").over(same), F.count_if(F.col("line_idx") == 0).over(same), F.count_if(F.col("line_idx") == F.col("n_lines") - 1).over(same)
+    rows = rows.withColumns({"__c": c, "__t": t, "__b": b})
+    often = (F.col("__c") >= least_count(cfg, F.col("__pages"))) & F.octet_length("__norm").between(cfg.min_bytes, cfg.max_bytes)
+    repeated = F.coalesce(often & ((2 * F.col("__t") >= F.col("__c")) | (2 * F.col("__b") >= F.col("__c"))), F.lit(False))
+    rows = rows.withColumn("__repeated", repeated)
+    line = F.col("line")
     kind = (
         F.when(rules.header(line), "header")
         .when(rules.footer(line), "footer")
-        .when(P.matches(line, P.BARE_NUMBER_4), F.when(repeated, "number").otherwise("text"))
-        .when(repeated, "repeated")
+        .when(P.matches(line, P.BARE_NUMBER_4), F.when(F.col("__repeated"), "number").otherwise("text"))
+        .when(F.col("__repeated"), "repeated")
         .otherwise("text")
     )
     rows = rows.withColumn("class", kind)

@@ -1,7 +1,7 @@
 """Pages to structured documents, as one plan.
 
-Lines shuffle for the frequencies and once by page; documents shuffle once by doc_id, and every window
-and aggregation of the repair works on that partitioning.
+Pages shuffle once, by document. Lines are rows for the suppressor alone, whose windows and aggregations
+keep that partitioning; what follows works inside a document's row.
 """
 
 from __future__ import annotations
@@ -33,7 +33,9 @@ def _suppressed(pages: DataFrame, cfg: SuppressorConfig, rules: P.RuleSet) -> Da
         F.count_if(dropped & (F.col("drop_rank") > cfg.most_per_page)).alias("o"),
         F.array_sort(F.collect_list(F.when(dropped & (F.col("drop_rank") <= cfg.sample), F.struct("line_idx", X.trim(F.col("line")).alias("line"))))).alias("s"),
     )
-    every = pages.select("doc_id", "page_idx").join(by_page, ["doc_id", "page_idx"], "left")
+    # Pages without lines come back as empty ones, without a join.
+    blank = pages.where(F.size(X.lines(F.coalesce("text", F.lit("")))) == 0).select("doc_id", "page_idx", F.lit("").alias("text"), *[F.lit(0).cast("bigint").alias(c) for c in "hfo"], F.lit(None).alias("s"))
+    every = by_page.unionByName(blank)
     by_order = F.array_sort(F.collect_list(F.when(F.col("s").isNotNull(), F.struct("page_idx", "s"))))
     sample = F.flatten(F.transform(by_order, lambda p: F.transform(p["s"], lambda x: x["line"])))
     zero = F.lit(0).cast("bigint")
@@ -44,13 +46,17 @@ def _suppressed(pages: DataFrame, cfg: SuppressorConfig, rules: P.RuleSet) -> Da
     )
 
 
-def _leaks(text: str):
-    leak = lambda x: P.matches(x, P.GAZETTE, True) | P.matches(x, P.DASHED_NUMBER) | P.matches(x, P.PAGE_WORD, True)
-    return F.size(F.filter(X.lines(F.col(text)), leak)).cast("bigint")
+LEAK_START = r"^\s*[TtLlHh\x{2012}\x{2013}\x{2014}\x{2212}\-]"
+
+
+def _leaks(lines):
+    """The number of gazette headers and numbered footers in an array of lines."""
+    leak = lambda x: P.matches(x, LEAK_START) & (P.matches(x, P.GAZETTE, True) | P.matches(x, P.DASHED_NUMBER) | P.matches(x, P.PAGE_WORD, True))
+    return F.size(F.filter(lines, leak)).cast("bigint")
 
 
 def structured(pages: DataFrame, cfg: PipelineConfig = PipelineConfig(), overrides: DataFrame | None = None) -> DataFrame:
-    """One row per document: markdown, headings found, counters and metrics."""
+    """One row per document: raw text, Markdown, headings found, counters and metrics."""
     if overrides is not None:
         pages = apply_overrides(pages, overrides)
     if cfg.suppressor is None:
@@ -58,33 +64,25 @@ def structured(pages: DataFrame, cfg: PipelineConfig = PipelineConfig(), overrid
         merged = merge_pages(pages).withColumns({**{c: F.lit(0).cast("bigint") for c in counters}, "removed_lines_sample": F.array().cast("array<string>")})
     else:
         merged = _suppressed(pages, cfg.suppressor, cfg.rules)
-    broken = P.java(P.BROKEN_WORD)
-    whole = merged.withColumns({"raw": F.col("text"), "hyphens_fixed": F.regexp_count("text", F.lit(broken)).cast("bigint"), "text": F.regexp_replace("text", broken, "$1$2")})
-    classified = cleanup.furniture(cleanup.numbered_lines(whole), cfg.rules)
-    kept = classified.where(F.col("class") == "text").drop("class")
-    lines = cleanup.normalise_lists(cleanup.merge_stray_marks(cleanup.join_soft_wraps(kept, cfg.rules), cfg.rules))
-    k = F.col("kind")
-    documents = structure.promote_headings(cleanup.reread(lines)).groupBy("doc_id").agg(
-        X.joined(F.col("line_no"), F.col("line")).alias("markdown"),
-        F.count_if(k == "bab").alias("bab"), F.count_if(k == "pasal").alias("pasal"),
-        *[F.bool_or(k == x).alias(x) for x in ("menimbang", "mengingat", "penjelasan")],
-    )
-    furniture = X.lines(F.col("text"))
-    is_header = cfg.rules.header
-    is_footer = lambda x: (cfg.rules.footer(x) | P.matches(x, P.BARE_NUMBER_3)) & ~cfg.rules.header(x)
-    rows = whole.withColumns({
-        "removed_header": (F.col("suppressed_header") + F.size(F.filter(furniture, is_header))).cast("bigint"),
-        "removed_footer": (F.col("suppressed_footer") + F.size(F.filter(furniture, is_footer))).cast("bigint"),
-        "__raw_leaks": _leaks("raw"), "__raw_chars": X.visible_length(F.col("raw")),
-    }).join(documents, "doc_id", "left")
-    rows = rows.withColumns({"markdown": F.coalesce("markdown", F.lit("")), **{c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("bab", "pasal")}, **{c: F.coalesce(c, F.lit(False)) for c in ("menimbang", "mengingat", "penjelasan")}})
-    rows = rows.withColumns({"__leaks": _leaks("markdown"), "__chars": X.visible_length(F.col("markdown"))})
+    rows = merged.withColumns({"raw_text": F.col("text"), "__raw_leaks": _leaks(X.lines(F.col("text"))), "__raw_chars": X.visible_length(F.col("text"))})
+    rows = cleanup.clean_whole(rows, cfg.rules)
+    rows = rows.withColumn("lines", F.transform("lines", lambda x: F.struct(x.alias("line"), structure.kind_of(x).alias("kind"))))
+    rows = rows.withColumn("__md", F.transform("lines", lambda x: structure.markdown_of(x["line"], x["kind"])))
+    of = lambda k: F.size(F.filter("lines", lambda x: x["kind"] == k)).cast("bigint")
+    rows = rows.withColumns({
+        "markdown": F.array_join("__md", "\n"),
+        **{k: of(k) for k in ("bab", "pasal")}, **{k: of(k) > 0 for k in ("menimbang", "mengingat", "penjelasan")},
+    })
+    # The Markdown's own lines: without an empty last one.
+    own = F.when(F.try_element_at("__md", F.lit(-1)) == "", F.slice("__md", F.lit(1), F.size("__md") - 1)).otherwise(F.col("__md"))
     lone = lambda x: P.matches(x, P.LONE_LETTER) | P.matches(x, P.ANY_LONE_NUMBER)
+    rows = rows.withColumns({"__leaks": _leaks(own), "__lone": F.size(F.filter(own, lone)), "__chars": X.visible_length(F.col("markdown"))})
     return rows.select(
-        "doc_id", F.col("raw").alias("raw_text"), "markdown", "bab", "pasal", "menimbang", "mengingat", "penjelasan", "hyphens_fixed", "removed_header", "removed_footer", "suppressor_overrun", "removed_lines_sample",
+        "doc_id", "raw_text", "markdown", "bab", "pasal", "menimbang", "mengingat", "penjelasan", "hyphens_fixed",
+        (F.col("suppressed_header") + F.col("removed_header")).alias("removed_header"), (F.col("suppressed_footer") + F.col("removed_footer")).alias("removed_footer"), "suppressor_overrun", "removed_lines_sample",
         F.when(F.col("__raw_chars") > 0, F.least(F.lit(1.0), F.col("__chars") / F.col("__raw_chars"))).otherwise(0.0).alias("character_coverage"),
         F.when(F.col("__raw_leaks") + F.col("__leaks") > 0, F.col("__leaks") / (F.col("__raw_leaks") + F.col("__leaks"))).otherwise(0.0).alias("leak_rate"),
-        (F.regexp_count("markdown", F.lit(P.java(P.SPLIT_PAREN))) + F.size(F.filter(X.lines(F.col("markdown")), lone))).cast("bigint").alias("split_violations"),
+        (F.regexp_count("markdown", F.lit(P.java(P.SPLIT_PAREN))) + F.col("__lone")).cast("bigint").alias("split_violations"),
     )
 
 
