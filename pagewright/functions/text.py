@@ -46,10 +46,14 @@ def lines(text: Column) -> Column:
     return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(body, "\n", -1))
 
 
-def explode_lines(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
-    """keys, line_idx (from 0), n_lines, line; rows with a null or empty text give none."""
+def explode_lines(df: DataFrame, text: str, keys: list[str], keep_empty: bool = False) -> DataFrame:
+    """keys, n_lines, line_idx (from 0), line.
+
+    A row whose text is null or empty gives no line, or one row with a null line_idx and line if ``keep_empty``.
+    """
     own = df.select(*keys, lines(F.col(text)).alias("__lines"))
-    return own.select(*keys, F.size("__lines").alias("n_lines"), F.posexplode("__lines").alias("line_idx", "line"))
+    explode = F.posexplode_outer if keep_empty else F.posexplode
+    return own.select(*keys, F.size("__lines").alias("n_lines"), explode("__lines").alias("line_idx", "line"))
 
 
 def joined(position: Column, line: Column, sep: str = "\n") -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.functions import text as X
@@ -15,6 +15,6 @@ def apply_overrides(pages: DataFrame, overrides: DataFrame) -> DataFrame:
     return rows.select("doc_id", "page_idx", F.when(F.col("__new").isNotNull(), F.col("__new.text")).otherwise(F.col("text")).alias("text"))
 
 
-def merge_pages(pages: DataFrame) -> DataFrame:
-    """doc_id, text: the pages in order, joined by a line feed; a null page is empty."""
-    return pages.groupBy("doc_id").agg(X.joined(F.col("page_idx"), F.coalesce("text", F.lit(""))).alias("text"))
+def merge_pages(pages: DataFrame, *more: Column) -> DataFrame:
+    """doc_id, text, and ``more`` aggregates: the pages in order, joined by a line feed; a null page is empty."""
+    return pages.groupBy("doc_id").agg(X.joined(F.col("page_idx"), F.coalesce("text", F.lit(""))).alias("text"), *more)

@@ -44,11 +44,12 @@ def candidates(pages: DataFrame, cfg: SuppressorConfig = SuppressorConfig(), rul
     return rows.where(often & ((2 * F.col("t") >= F.col("c")) | (2 * F.col("b") >= F.col("c"))) & ~rules.heading(F.col("norm"))).select("doc_id", "norm")
 
 
-def classified_lines(pages: DataFrame, cfg: SuppressorConfig = SuppressorConfig(), rules: P.RuleSet = P.DEFAULT_RULES) -> DataFrame:
+def classified_lines(pages: DataFrame, cfg: SuppressorConfig = SuppressorConfig(), rules: P.RuleSet = P.DEFAULT_RULES, keep_empty: bool = False) -> DataFrame:
     """Lines with their class (header, footer, number, repeated or text), drop, and drop_rank within the page.
 
     ``drop`` is the decision after rescue by ``keep_lines``; the first ``most_per_page`` drops of a page
-    take effect. Lines are right-trimmed.
+    take effect. Lines are right-trimmed. With ``keep_empty`` a page without lines is one row of class
+    text without a line.
 
     Pages are dealt by document once, before they become lines; counting a line within its document and
     ranking drops within their page are windows on that partitioning. (``candidates`` gives the repeated
@@ -58,7 +59,7 @@ def classified_lines(pages: DataFrame, cfg: SuppressorConfig = SuppressorConfig(
     # A number keeps adaptive execution from joining partitions that are small in bytes but long to work on.
     n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = pages.select("doc_id", "page_idx", "text").repartition(n, "doc_id").withColumn("__pages", F.count("*").over(in_document))
-    rows = X.explode_lines(rows, "text", ["doc_id", "page_idx", "__pages"]).withColumn("line", X.trim_end(F.col("line")))
+    rows = X.explode_lines(rows, "text", ["doc_id", "page_idx", "__pages"], keep_empty).withColumn("line", X.trim_end(F.col("line")))
     # Blank lines and headings are never repeated lines; they have no norm to be counted by.
     norm = X.normal(F.col("line"))
     rows = rows.withColumn("__norm", norm).withColumn("__norm", F.when((F.col("__norm") != "") & ~rules.heading(F.col("__norm")), F.col("__norm")))
@@ -80,7 +81,7 @@ def classified_lines(pages: DataFrame, cfg: SuppressorConfig = SuppressorConfig(
     drop = F.col("class") != "text"
     if cfg.keep_lines is not None:
         drop = drop & ~line.rlike(P.java(cfg.keep_lines))
-    rows = rows.withColumn("drop", drop)
+    rows = rows.withColumn("drop", F.coalesce(drop, F.lit(False)))
     order = Window.partitionBy("doc_id", "page_idx").orderBy("line_idx").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("drop_rank", F.sum(F.col("drop").cast("int")).over(order).cast("bigint"))
     kept = ~F.col("drop") | (F.col("drop_rank") > cfg.most_per_page)

@@ -24,7 +24,7 @@ class StructureNotFound(Exception):
 
 def _suppressed(pages: DataFrame, cfg: SuppressorConfig, rules: P.RuleSet) -> DataFrame:
     """doc_id, text (merged, after suppression) with the suppressor's counters and sample."""
-    rows = suppress.classified_lines(pages, cfg, rules)
+    rows = suppress.classified_lines(pages, cfg, rules, keep_empty=True)
     dropped = F.col("drop")
     by_page = rows.groupBy("doc_id", "page_idx").agg(
         X.joined(F.col("line_idx"), F.when(F.col("kept"), F.col("line"))).alias("text"),
@@ -33,15 +33,12 @@ def _suppressed(pages: DataFrame, cfg: SuppressorConfig, rules: P.RuleSet) -> Da
         F.count_if(dropped & (F.col("drop_rank") > cfg.most_per_page)).alias("o"),
         F.array_sort(F.collect_list(F.when(dropped & (F.col("drop_rank") <= cfg.sample), F.struct("line_idx", X.trim(F.col("line")).alias("line"))))).alias("s"),
     )
-    # Pages without lines come back as empty ones, without a join.
-    blank = pages.where(F.size(X.lines(F.coalesce("text", F.lit("")))) == 0).select("doc_id", "page_idx", F.lit("").alias("text"), *[F.lit(0).cast("bigint").alias(c) for c in "hfo"], F.lit(None).alias("s"))
-    every = by_page.unionByName(blank)
     by_order = F.array_sort(F.collect_list(F.when(F.col("s").isNotNull(), F.struct("page_idx", "s"))))
     sample = F.flatten(F.transform(by_order, lambda p: F.transform(p["s"], lambda x: x["line"])))
-    zero = F.lit(0).cast("bigint")
-    return every.groupBy("doc_id").agg(
-        X.joined(F.col("page_idx"), F.coalesce("text", F.lit(""))).alias("text"),
-        *[F.sum(F.coalesce(c, zero)).alias(n) for c, n in (("h", "suppressed_header"), ("f", "suppressed_footer"), ("o", "suppressor_overrun"))],
+    return by_page.groupBy("doc_id").agg(
+        F.count("*").cast("int").alias("page_count"),
+        X.joined(F.col("page_idx"), F.col("text")).alias("text"),
+        F.sum("h").alias("suppressed_header"), F.sum("f").alias("suppressed_footer"), F.sum("o").alias("suppressor_overrun"),
         F.slice(sample, 1, cfg.sample).alias("removed_lines_sample"),
     )
 
@@ -56,12 +53,12 @@ def _leaks(lines):
 
 
 def structured(pages: DataFrame, cfg: PipelineConfig = PipelineConfig(), overrides: DataFrame | None = None) -> DataFrame:
-    """One row per document: raw text, Markdown, headings found, counters and metrics."""
+    """One row per document: pages, raw text, Markdown, headings found, counters and metrics."""
     if overrides is not None:
         pages = apply_overrides(pages, overrides)
     if cfg.suppressor is None:
         counters = ("suppressed_header", "suppressed_footer", "suppressor_overrun")
-        merged = merge_pages(pages).withColumns({**{c: F.lit(0).cast("bigint") for c in counters}, "removed_lines_sample": F.array().cast("array<string>")})
+        merged = merge_pages(pages, F.count("*").cast("int").alias("page_count")).withColumns({**{c: F.lit(0).cast("bigint") for c in counters}, "removed_lines_sample": F.array().cast("array<string>")})
     else:
         merged = _suppressed(pages, cfg.suppressor, cfg.rules)
     rows = merged.withColumns({"raw_text": F.col("text"), "__raw_leaks": _leaks(X.lines(F.col("text"))), "__raw_chars": X.visible_length(F.col("text"))})
@@ -78,7 +75,7 @@ def structured(pages: DataFrame, cfg: PipelineConfig = PipelineConfig(), overrid
     lone = lambda x: P.matches(x, P.LONE_LETTER) | P.matches(x, P.ANY_LONE_NUMBER)
     rows = rows.withColumns({"__leaks": _leaks(own), "__lone": F.size(F.filter(own, lone)), "__chars": X.visible_length(F.col("markdown"))})
     return rows.select(
-        "doc_id", "raw_text", "markdown", "bab", "pasal", "menimbang", "mengingat", "penjelasan", "hyphens_fixed",
+        "doc_id", "page_count", "raw_text", "markdown", "bab", "pasal", "menimbang", "mengingat", "penjelasan", "hyphens_fixed",
         (F.col("suppressed_header") + F.col("removed_header")).alias("removed_header"), (F.col("suppressed_footer") + F.col("removed_footer")).alias("removed_footer"), "suppressor_overrun", "removed_lines_sample",
         F.when(F.col("__raw_chars") > 0, F.least(F.lit(1.0), F.col("__chars") / F.col("__raw_chars"))).otherwise(0.0).alias("character_coverage"),
         F.when(F.col("__raw_leaks") + F.col("__leaks") > 0, F.col("__leaks") / (F.col("__raw_leaks") + F.col("__leaks"))).otherwise(0.0).alias("leak_rate"),
@@ -92,7 +89,7 @@ def document_meta(pages: DataFrame, cfg: PipelineConfig = PipelineConfig(), timi
     ``timings`` has doc_id, started_ms, finished_ms; without it both are 0. ``overrides`` are recognised
     pages, which count as run.
     """
-    docs = structured(pages, cfg, overrides)
+    docs = structured(pages, cfg, overrides).drop("page_count")
     summary = quality.suspect_summary(pages, cfg.min_chars, cfg.sample_suspects, overrides)
     zero = F.lit(0).cast("bigint")
     if timings is None:

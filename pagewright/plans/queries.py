@@ -54,8 +54,7 @@ def _raw_and_markdown(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
 
 
 def _report(pages: DataFrame) -> DataFrame:
-    counts = pages.groupBy("doc_id").agg(F.count("*").cast("int").alias("page_count"))
-    return structured(pages).join(counts, "doc_id").select(
+    return structured(pages).select(
         "doc_id", "page_count", "bab", "pasal", "menimbang", "mengingat", "penjelasan", "hyphens_fixed", "removed_header", "removed_footer", "suppressor_overrun", "character_coverage", "leak_rate", "split_violations"
     )
 
