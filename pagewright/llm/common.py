@@ -2,51 +2,27 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagewright.sources.shared import materialize, shared_dir  # noqa: F401
+
 #: A side is broadcast only when its measured size stays below this many bytes.
 BROADCAST_BYTES = 8 << 20
-
-_local_dir: str | None = None
+#: Rows of an Arrow batch, unless the session asks for another number than Spark's own: texts are long.
+BATCH_ROWS, SPARK_BATCH_ROWS = "2000", "10000"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    It is ``spark.checkpoint.dir`` of the session. Where that is unset, a temporary folder serves a
-    local master only; on a cluster the missing setting is an error.
-    """
-    global _local_dir
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    if _local_dir is None:
-        _local_dir = tempfile.mkdtemp(prefix="pagewright-")
-        atexit.register(shutil.rmtree, _local_dir, ignore_errors=True)
-    return _local_dir
-
-
-def materialize(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends at files that any executor can read.
-
-    The commit protocol keeps one attempt of each task, so values that depend on how rows were dealt
-    (partition ids, positions) are fixed once written, whatever executors are lost later.
-    """
-    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def map_batches(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` in batches that suit texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(key, SPARK_BATCH_ROWS) == SPARK_BATCH_ROWS:
+        df.sparkSession.conf.set(key, BATCH_ROWS)
+    return df.mapInArrow(run, schema)
 
 
 def broadcast_if(df: DataFrame, n_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -62,7 +38,7 @@ def ascii_lower(col):
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def slices(batch, column: str, limit: int = 4 << 20):
+def slices(batch, column: str, limit: int = 2 << 20):
     """Cut a record batch so that no slice holds more than ``limit`` bytes of a text column, but one row at least."""
     import numpy as np
     import pyarrow.compute as pc

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import slices
+from pagewright.llm.common import map_batches, slices
 
 WORDS, SHAPES, RATIOS, META = 1 << 13, 1 << 9, 6, 1 << 8
 CACHE_WORDS = 400_000
@@ -43,29 +43,54 @@ class Limits:
     held_back: float = 0.25
 
 
+class _Kinds(dict):
+    """Letters to x or X, digits to 9, other characters to themselves, worked out once each."""
+
+    def __missing__(self, point: int) -> str:
+        c = chr(point)
+        self[point] = kind = "X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c
+        return kind
+
+
+KINDS, RUN = _Kinds(), re.compile(r"(.)\1+", re.S)
+
+
 def shape(word: str) -> str:
     """Letters as x or X, digits as 9, runs as one, six characters at most."""
-    kinds = ("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in word)
-    return re.sub(r"(.)\1+", r"\1", "".join(kinds))[:6]
+    return RUN.sub(r"\1", word.translate(KINDS))[:6]
 
 
 class TextView:
-    """Sparse rows of a batch of texts: (row, column, value) arrays and the dense ratios."""
+    """Features of a batch of texts: buckets of words and of their shapes, and the dense ratios."""
 
     width = WORDS + SHAPES
 
     def __init__(self) -> None:
-        self.known: dict[str, tuple[int, int, int]] = {}
+        self.reset()
+
+    def reset(self) -> None:
+        import numpy as np
+
+        self.known: dict[str, int] = {}
+        self.kinds = np.zeros((1 << 14, 3), dtype=np.int64)
 
     def look(self, words: list[str]):
+        """(bucket of the word, bucket of its shape, letters) of each word; what was seen is remembered."""
         import numpy as np
 
         if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        for w in words:
-            if w not in self.known:
-                self.known[w] = (zlib.crc32(w.encode("utf-8", "replace")) % WORDS, WORDS + zlib.crc32(shape(w).encode("utf-8", "replace")) % SHAPES, len(w))
-        return np.array([self.known[w] for w in words], dtype=np.int64).reshape(-1, 3)
+            self.reset()
+        known = self.known
+        if new := [w for w in words if w not in known]:
+            n = len(known)
+            if n + len(new) > len(self.kinds):
+                self.kinds = np.concatenate([self.kinds[:n], np.zeros((2 * len(self.kinds) + len(new), 3), dtype=np.int64)])
+            own = self.kinds[n : n + len(new)]
+            own[:, 0] = [zlib.crc32(w.encode("utf-8", "replace")) % WORDS for w in new]
+            own[:, 1] = [WORDS + zlib.crc32(shape(w).encode("utf-8", "replace")) % SHAPES for w in new]
+            own[:, 2] = list(map(len, new))
+            known.update(zip(new, range(n, n + len(new)), strict=True))
+        return self.kinds[np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))]
 
     def words(self, texts):
         """(row, word, shape) of each word, and the ratios of each text."""
@@ -89,6 +114,16 @@ class TextView:
         return row, there[:, 0], there[:, 1], count, ratios
 
 
+_view: list[TextView] = []
+
+
+def text_view() -> TextView:
+    """The worker's view, whose memory later tasks of the same worker find warm."""
+    if not _view:
+        _view.append(TextView())
+    return _view[0]
+
+
 def meta_columns(source, lang, n_bytes) -> list[int]:
     return [zlib.crc32(x.encode("utf-8", "replace")) % META for x in (f"s={source}", f"l={lang}", f"n={int(n_bytes or 0).bit_length()}")]
 
@@ -152,7 +187,7 @@ def _features(batches: Iterator) -> Iterator:
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    view = TextView()
+    view = text_view()
     for whole in batches:
         for batch in slices(whole, "text"):
             row, word, shaped, count, ratios = view.words(pc.fill_null(batch.column("text"), ""))
@@ -200,7 +235,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", limits: Lim
     pool_share = min(scale, scale * limits.pool // max(1, n_docs))
     wanted = rows.where((rank < share) | (rank < pool_share)).join(F.broadcast(sample), "doc_id", "left").where(F.col("y").isNotNull() | (rank < pool_share))
     schema = "doc_id bigint, source string, lang string, n_bytes bigint, y int, columns array<int>, values array<float>"
-    got = wanted.select("doc_id", "source", "lang", "n_bytes", "y", "text").mapInArrow(_features, schema).collect()
+    got = map_batches(wanted.select("doc_id", "source", "lang", "n_bytes", "y", "text"), _features, schema).collect()
     got.sort(key=lambda r: r.doc_id)
     width = TextView.width + RATIOS
     labelled, pool = [r for r in got if r.y is not None], [r for r in got if r.y is None]
@@ -248,7 +283,7 @@ def _score(model: Model, least: float):
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        view = TextView()
+        view = text_view()
         odds = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
         for whole in batches:
             for batch in slices(whole, "text"):
@@ -268,4 +303,4 @@ def _score(model: Model, least: float):
 
 def score(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """doc_id, p_text, p_meta (calibrated views), score and kept (score at ``least`` or above) of each row."""
-    return _rows(docs).mapInArrow(_score(model, least), "doc_id bigint, p_text double, p_meta double, score double, kept boolean")
+    return map_batches(_rows(docs), _score(model, least), "doc_id bigint, p_text double, p_meta double, score double, kept boolean")

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import slices
+from pagewright.llm.common import map_batches, slices
 
 K1, B = 1.2, 0.75
 POSTING_BLOCK = 16
@@ -43,7 +43,8 @@ JUNK = re.compile(r"[\W_]+")
 
 
 def term_of(word: str) -> str:
-    return JUNK.sub("", word.lower())
+    low = word.lower()
+    return low if low.isalnum() else JUNK.sub("", low)
 
 
 def terms_of(text: str) -> list[str]:
@@ -248,5 +249,5 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, thres
     rows = docs.drop("item_ids").withColumns({"text": F.col("text").cast("string"), "item_ids": F.array().cast("array<bigint>")})
     for k in range(passes):
         own = items if passes == 1 else items.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k)
-        rows = rows.mapInArrow(_match([tuple(r) for r in own.collect()], threshold, others), rows.schema)
+        rows = map_batches(rows, _match([tuple(r) for r in own.collect()], threshold, others), rows.schema)
     return rows.withColumn("item_ids", F.array_sort(F.array_distinct("item_ids")))

@@ -23,7 +23,7 @@ from html import unescape
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import slices
+from pagewright.llm.common import map_batches, slices
 
 #: Elements whose content is never text of the page.
 SILENT = "script|style|textarea|title|noscript|template|svg|math|iframe|object|canvas|audio|video"
@@ -283,4 +283,4 @@ def _extract(batches: Iterator) -> Iterator:
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of each row."""
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    return rows.mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint")
+    return map_batches(rows, _extract, "page_id bigint, url string, text string, n_chars bigint")

@@ -21,12 +21,12 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import slices
+from pagewright.llm.common import map_batches, slices
 
 DIMENSIONS = 1024
 SEED = 7
 #: Characters of one numpy pass over a batch.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: Up to this many different letters, trigrams are counted in a table; above, by sorting.
 TABLE_LETTERS = 160
 
@@ -156,7 +156,7 @@ def fit_prototypes(docs: DataFrame, train_rows: int = 4000, dimensions: int = DI
     for lang, n in sizes.items():
         chosen = chosen | ((F.col("lang") == lang) & (ranks < min(scale, scale * train_rows // n)))
     sums = {lang: np.zeros(dimensions) for lang in sorted(sizes)}
-    for lang, bundle in known.where(chosen).select("text", "lang").mapInArrow(_bundle(dimensions), "lang string, bundle array<double>").collect():
+    for lang, bundle in map_batches(known.where(chosen).select("text", "lang"), _bundle(dimensions), "lang string, bundle array<double>").collect():
         sums[lang] += bundle
     norms = {lang: np.linalg.norm(v) for lang, v in sums.items()}
     langs = [lang for lang in sums if norms[lang] > 0]
@@ -198,4 +198,4 @@ def identify(docs: DataFrame, langs: list[str], prototypes, keep: tuple[str, ...
     """
     rows = docs.select(*(c for c in keep if c not in ("held_out", "lang_pred", "score")), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("__text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(_predict(langs, prototypes), f"{schema}, lang_pred string, score double")
+    return map_batches(rows, _predict(langs, prototypes), f"{schema}, lang_pred string, score double")

@@ -18,11 +18,11 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import materialize, slices
+from pagewright.llm.common import map_batches, materialize, slices
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 #: Word pieces that a worker remembers before it starts afresh.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 
 
 class WordTokenizer:
@@ -188,9 +188,9 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer_path: str, window: int
     those of the text without special tokens, then ``end_id``.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    coded = rows.mapInArrow(_tokenize(tokenizer_path, end_id), "doc_id bigint, ids binary, n bigint, part int, before bigint")
+    coded = map_batches(rows, _tokenize(tokenizer_path, end_id), "doc_id bigint, ids binary, n bigint, part int, before bigint")
     coded = materialize(spark, coded, "packing")
     base, total = {}, 0
     for part, n in sorted(map(tuple, coded.groupBy("part").agg(F.sum("n")).collect())):  # a number for each task
         base[part], total = total, total + n
-    return coded.mapInArrow(_cut(base, window), PIECES)
+    return map_batches(coded, _cut(base, window), PIECES)

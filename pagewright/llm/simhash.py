@@ -26,7 +26,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import materialize, slices
+from pagewright.llm.common import map_batches, materialize, slices
 from pagewright.llm.components import connected_components
 
 SEED = 42
@@ -275,7 +275,7 @@ def near_links(spark: SparkSession, distinct: DataFrame, threshold: int, block:
 def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: int = 4, width: int = 4, block: int = BLOCK) -> DataFrame:
     """doc_id, fp (signed 64 bits) and component_id (smallest doc_id reachable over links) of each row."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marked = materialize(spark, rows.mapInArrow(_fingerprints(width), "doc_id bigint, fp bigint"), "simhash-fp")
+    marked = materialize(spark, map_batches(rows, _fingerprints(width), "doc_id bigint, fp bigint"), "simhash-fp")
     distinct = materialize(spark, marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     stars = connected_components(spark, near_links(spark, distinct, threshold, block), "simhash-components")
     members = stars.unionByName(stars.select(F.col("root").alias("node"), "root")).distinct()
