@@ -75,10 +75,15 @@ def check_tools(which=shutil.which) -> tuple[bool, list[str]]:
     return not {"pdftotext", "pdftoppm"} & set(missing), missing
 
 
+# The packages that bring a tool, and the hint's wording.
+PACKAGES = {"pdftotext": ("poppler-utils", "pkg-config", "clang"), "tesseract": ("tesseract-ocr", "tesseract-ocr-ind")}
+HINT = "Dependency missing. Install via Nala:\n  sudo nala install "
+
+
 def install_hint(missing: list[str]) -> str:
     """How to install missing tools; empty if pdftoppm alone is missing."""
-    packages = ["poppler-utils", "pkg-config", "clang"] * ("pdftotext" in missing) + ["tesseract-ocr", "tesseract-ocr-ind"] * ("tesseract" in missing)
-    return "Dependency missing. Install via Nala:\n  sudo nala install " + " ".join(packages) if packages else ""
+    packages = [p for tool, names in PACKAGES.items() if tool in missing for p in names]
+    return HINT + " ".join(packages) if packages else ""
 
 
 @dataclass(frozen=True)
