@@ -44,12 +44,13 @@ ASIDE_TAGS = frozenset("nav footer aside form button select menu dialog label fi
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar tablist note".split())
 #: Parts of class names and ids that mark boilerplate.
 ASIDE_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising adbox adsense sponsor sponsored sponsors promo promos promotion promoted banner banners cookie cookies consent gdpr privacy notice notices notification newsletter subscribe subscription signup sidebar sidebars rail related recommended recommendations trending popular menu menus submenu nav navbar navigation navi breadcrumb breadcrumbs footer foot masthead topbar toolbar comment comments commentlist disqus respond reply replies discussion share sharing social follow popup modal overlay lightbox login register search searchbox widget widgets pagination pager paging copyright legal disclaimer alert skip tagcloud outbrain taboola paywall feedback survey".split()
+    "ad ads adsbygoogle adv advert adverts advertisement advertising adbox adsense sponsor sponsored sponsors promo promos promotion promoted banner banners cookie cookies consent gdpr privacy notice notices notification newsletter subscribe subscription signup sidebar sidebars rail related recommended recommendations trending popular menu menus submenu nav navbar navigation navi breadcrumb breadcrumbs footer foot masthead topbar toolbar comment comments commentlist disqus respond reply replies discussion share sharing social follow popup modal overlay lightbox login register search searchbox widget widgets pagination pager paging copyright legal disclaimer alert skip tagcloud outbrain taboola paywall feedback survey".split()
 )
 TEXT_NAMES = frozenset("article articlebody post entry content story main maincontent body text prose".split())
 
 FAR, NEAR = 6.0, 3.0
 SMOOTH = 1.5
+OUTSIDE = 3.0
 
 
 class _Node:
@@ -67,7 +68,7 @@ def _open(tag: str, attrs: str, above: _Node, number: int) -> _Node:
         for key, a, b, c in ATTRIBUTE.findall(attrs):
             key, value = key.lower(), (a or b or c).lower()
             if key in ("class", "id"):
-                names.update(re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", a or b or c).lower()))
+                names.update(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", a or b or c).lower()))
             elif key == "role":
                 aside, text = aside or value in ASIDE_ROLES, text or value in ("main", "article")
             elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
@@ -257,13 +258,19 @@ def minimum_cut(content: list[float], boilerplate: list[float], edges: list[tupl
             residual[j][i] += flow
 
 
+def unmarked_bias(found: list[Block]) -> list[float]:
+    """What blocks without any mark gain or lose: likely content of a page without an article element or the like,
+    unlikely beside one that holds a good part of the text."""
+    inside, outside = (sum(len(b.text) for b in found if test(b)) for test in (lambda b: b.lean > 0, lambda b: b.lean == 0))
+    bias = 1.0 if not inside else -OUTSIDE if 4 * inside >= outside else 0.0
+    return [bias if b.lean == 0 else 0.0 for b in found]
+
+
 def main_text(html: str | None) -> str:
     found = blocks(html or "")
     if not found:
         return ""
-    # Without an article element or the like, unmarked blocks are the likely content.
-    bias = 0.0 if any(b.lean > 0 for b in found) else 1.0
-    scores = [b.score() + bias for b in found]
+    scores = [b.score() + x for b, x in zip(found, unmarked_bias(found), strict=True)]
     soft = lambda x: max(x, 0.0) + math.log1p(math.exp(-abs(x)))
     labels = minimum_cut([soft(-s) for s in scores], [soft(s) for s in scores], edges_of(found))
     return " ".join(b.text for b, keep in zip(found, labels, strict=True) if keep)

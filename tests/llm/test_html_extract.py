@@ -22,6 +22,14 @@ def test_pages_by_hand():
     assert main_text("<p>Kept to the end <!-- open") == "Kept to the end"
 
 
+def test_text_beside_an_article():
+    aside = "Unmarked text beside the article, which is long enough to look like content by itself, surely."
+    assert main_text(f"<body><div>{aside}</div><article><p>The article says this. And that.</p></article></body>") == "The article says this. And that."
+    cards = "<article><a href=x>More</a></article>"
+    assert aside in main_text(f"<body>{cards}<div><p>{aside}</p><p>{aside}</p></div>{cards}</body>")
+    assert main_text('<article><p>One two three.</p><div class="ad1">Buy a thing today.</div><ins class="adsbygoogle">x</ins><p>Four.</p></article>') == "One two three. Four."
+
+
 def test_cut_is_minimal():
     rng = random.Random(2)
     for _ in range(300):
