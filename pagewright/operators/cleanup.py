@@ -61,7 +61,7 @@ def reread(lines: DataFrame) -> DataFrame:
 def join_soft_wraps(lines: DataFrame, rules: P.RuleSet = P.DEFAULT_RULES) -> DataFrame:
     """Lines after one that ends in an ASCII letter or digit, and is no heading, continue it with a blank."""
     line = F.col("line")
-    wraps = ~rules.heading(line) & P.matches(line, r"[0-9A-Za-z]\s*$")
+    wraps = ~rules.heading(line) & X.ends_in_ascii_alnum(line)
     rows = lines.withColumn("__on", F.coalesce(F.lag(wraps).over(in_doc()), F.lit(False)))
     rows = rows.withColumn("__group", F.sum((~F.col("__on")).cast("int")).over(running()))
     piece = F.when(F.col("__on"), X.trim_start(line)).otherwise(line)
@@ -143,7 +143,7 @@ def clean_whole(documents: DataFrame, rules: P.RuleSet = P.DEFAULT_RULES) -> Dat
     rows = rows.withColumn("__marked", F.transform(X.lines(F.col("text")), lambda x: F.struct(x.alias("line"), kind(x).alias("kind"))))
     of = lambda k: F.size(F.filter("__marked", lambda x: x["kind"] == k)).cast("bigint")
     # Each kept line with whether the next one continues it.
-    wraps = lambda x: P.matches(x, r"[0-9A-Za-z]\s*$") & ~rules.heading(x)
+    wraps = lambda x: X.ends_in_ascii_alnum(x) & ~rules.heading(x)
     kept = F.transform(F.filter("__marked", lambda x: x["kind"] == 0), lambda x: F.struct(x["line"].alias("line"), wraps(x["line"]).alias("on")))
     rows = rows.withColumns({"removed_header": of(1), "removed_footer": of(2), "__kept": kept}).drop("__marked", "text")
     on = lambda i: F.coalesce(F.get(F.col("__kept"), i - 1)["on"], F.lit(False))
