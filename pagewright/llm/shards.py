@@ -154,7 +154,7 @@ def assign_shards(spark: SparkSession, docs: DataFrame, shards: int = 16) -> Dat
     )
 
 
-def write_shards(assigned: DataFrame, docs: DataFrame, path: str) -> None:
-    """The documents as Parquet, one folder per shard, ordered by slot within each file; needs unique doc_ids."""
-    shard_of = assigned.select("doc_id", "shard", "slot")
-    docs.join(shard_of, "doc_id").repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+def write_shards(assigned: DataFrame, docs: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
+    """The documents as Parquet, one folder per shard, in files of consecutive slots, each ordered by slot; needs unique doc_ids."""
+    rows = docs.join(assigned.select("doc_id", "shard", "slot"), "doc_id").withColumn("part", F.floor(F.col("slot") / rows_per_file))
+    rows.repartition("shard", "part").sortWithinPartitions("shard", "slot").drop("part").write.partitionBy("shard").parquet(path)

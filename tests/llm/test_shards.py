@@ -83,3 +83,11 @@ def test_nulls_ties_empty(spark):
     rows = shards.assign_shards(spark, spark.createDataFrame([(d, t, "x", 0) for d, t in docs], schema).repartition(3)).collect()
     check(rows, docs)
     assert len({r.shard for r in rows if r.doc_id in (1, 2)}) == 1
+
+
+def test_shard_files(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(200)], "doc_id long, text string")
+    shards.write_shards(shards.assign_shards(spark, docs, 3), docs, str(tmp_path / "out"), rows_per_file=20)
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r.doc_id, r.text) for r in rows) == [(i, f"text {i}") for i in range(200)]
+    assert {r.shard for r in rows} == {0, 1, 2}
