@@ -17,12 +17,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def release_memory() -> None:
+    """Give back what Arrow and the C library hold unused; workers idle between tasks, beside others at work."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def _tidy(run):
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return tidied
+
+
 def map_batches(df: DataFrame, run, schema) -> DataFrame:
-    """``mapInArrow`` in batches that suit texts."""
+    """``mapInArrow`` in batches that suit texts; workers release memory behind each task."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if df.sparkSession.conf.get(key, SPARK_BATCH_ROWS) == SPARK_BATCH_ROWS:
         df.sparkSession.conf.set(key, BATCH_ROWS)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(_tidy(run), schema)
 
 
 def broadcast_if(df: DataFrame, n_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:

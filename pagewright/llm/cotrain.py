@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pagewright.llm.common import map_batches, slices
 
 WORDS, SHAPES, RATIOS, META = 1 << 13, 1 << 9, 6, 1 << 8
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 
 
 @dataclass(frozen=True)

@@ -259,9 +259,9 @@ def _compare_blocks(threshold: int):
 
 def near_links(spark: SparkSession, distinct: DataFrame, threshold: int, block: int = BLOCK) -> DataFrame:
     """Links (a, b) between different fingerprints, enough to keep components; ``distinct`` has fp once each."""
-    dealt = distinct.select("fp").mapInArrow(_to_anchors(threshold), "anchor bigint, fp bigint")
+    dealt = map_batches(distinct.select("fp"), _to_anchors(threshold), "anchor bigint, fp bigint")
     dealt = dealt.repartition("anchor").sortWithinPartitions("anchor")
-    found = materialize(spark, dealt.mapInArrow(_compare(threshold, block), "a bigint, b bigint, anchor bigint"), "simhash-links")
+    found = materialize(spark, map_batches(dealt, _compare(threshold, block), "a bigint, b bigint, anchor bigint"), "simhash-links")
     links = found.where("b is not null").select("a", "b")
     over = found.where("b is null").select("anchor", F.col("a").alias("fp"))
     sizes = over.groupBy("anchor").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
@@ -269,7 +269,7 @@ def near_links(spark: SparkSession, distinct: DataFrame, threshold: int, block:
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cut = cut.select("anchor", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "fp")
     cut = cut.repartition("anchor", "low", "high").sortWithinPartitions("anchor", "low", "high")
-    return links.unionByName(cut.mapInArrow(_compare_blocks(threshold), "a bigint, b bigint"))
+    return links.unionByName(map_batches(cut, _compare_blocks(threshold), "a bigint, b bigint"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: int = 4, width: int = 4, block: int = BLOCK) -> DataFrame:
