@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagewright.sources.shared import materialize
+
+#: A slug that is another one with a number behind it; no table has so many rows that a longer number is met.
+NUMBERED = r"^(.*)-([1-9][0-9]{0,17})$"
+WALKED = "slug string, child string, row_kept bigint, lost_kept boolean, row_lost bigint, lost_lost boolean, chain array<string>"
+
 
 def slugify(name: Column) -> Column:
     """Lower case, runs of other than ASCII letters and digits as one hyphen, none at the ends; ``doc`` if nothing is left."""
@@ -17,36 +26,81 @@ def base_name(path: Column) -> Column:
     return F.regexp_replace(F.substring_index(path, "/", -1), r"(\.pdf)+$", "")
 
 
+def _chain(slug: str) -> list[str]:
+    """``slug`` and what is left of it as one number after the other is taken off its end."""
+    out = [slug]
+    while m := re.fullmatch(NUMBERED, out[-1]):
+        out.append(m[1])
+    return out
+
+
+def _walk(batches: Iterator) -> Iterator:
+    """Which numbered slugs a stem's rows reach, for a stem whose first row keeps the bare slug, and for one that loses it.
+
+    Rows are (slug, child, k, before), by slug and k: ``child`` is slug-k, and ``before`` counts the rows of ``slug``
+    that come before the first row of ``child``. A row that reaches k passes it if ``child`` was there first, else takes it.
+    """
+    import pyarrow as pa
+
+    at, passed = None, [0, 0]
+    for batch in batches:
+        out = {c: [] for c in ("row_kept", "lost_kept", "row_lost", "lost_lost", "chain")}
+        for slug, child, k, before in zip(*(batch.column(c).to_pylist() for c in ("slug", "child", "k", "before")), strict=True):
+            if slug != at:
+                at, passed = slug, [0, 0]
+            lost = []
+            for start, name in enumerate(("kept", "lost")):
+                row = k - start - passed[start]
+                lost.append(row < before)
+                passed[start] += row >= before
+                out[f"row_{name}"].append(row)
+                out[f"lost_{name}"].append(row < before)
+            out["chain"].append(_chain(child) if lost[0] != lost[1] else [])
+        types = {"row_kept": pa.int64(), "row_lost": pa.int64(), "chain": pa.list_(pa.string())}
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("slug"), batch.column("child"), *(pa.array(v, types.get(c, pa.bool_())) for c, v in out.items())], names=["slug", "child", *out]
+        )
+
+
+def _losing(walked: DataFrame) -> DataFrame:
+    """child: the numbered slugs whose bare name a row of their stem takes first.
+
+    Where that hangs on whether the stem lost its own bare name, the chain of stems above is read from its far end;
+    a stem that is not there, or is no numbered slug of another, keeps its name.
+    """
+    sure = walked.where("lost_kept and lost_lost").select("child")
+    above = walked.select("child", F.posexplode("chain").alias("depth", "of")).join(walked.select(F.col("child").alias("of"), "lost_kept", "lost_lost"), "of", "left")
+    steps = above.groupBy("child").agg(F.sort_array(F.collect_list(F.struct("depth", "lost_kept", "lost_lost")), asc=False).alias("steps"))
+    end = F.aggregate("steps", F.lit(False), lambda lost, s: F.coalesce(F.when(lost, s["lost_lost"]).otherwise(s["lost_kept"]), F.lit(False)))
+    return sure.unionByName(steps.where(end).select("child"))
+
+
 def with_unique_slugs(files: DataFrame, name: Column, order: list) -> DataFrame:
     """``files`` with slug and doc_id: a slug met before gets the lowest free suffix -1, -2, ...
 
-    Rows of one slug are numbered in ``order``. A number may clash with a slug that is natural elsewhere
-    (``a``, ``a``, ``a-1``). Slugs that are another one with a number behind it, and those others, are
-    few; they are settled in order on the driver, the rest by the number alone.
+    Rows are met in ``order``, those at one place of it by slug. Rows of one slug are numbered by a window. A number may
+    clash with a slug that is natural elsewhere (``a``, ``a``, ``a-1``); whichever is met first has the name. A slug's
+    numbers only rise, so what decides is how many of its rows come before the first row of each numbered slug: these
+    distinct slugs alone are walked, in the order of their numbers, and each that a slug passes moves the numbers of
+    its further rows by one.
     """
-    rows = files.withColumn("slug", slugify(name))
-    number = F.row_number().over(Window.partitionBy("slug").orderBy(*order)) - 1
-    rows = rows.withColumn("doc_id", F.when(number > 0, F.concat_ws("-", "slug", number.cast("string"))).otherwise(F.col("slug")))
-    rows = rows.withColumn("__n", number)
-    slugs = rows.select("slug").distinct()
-    stems = slugs.select("slug", F.regexp_extract("slug", r"^(.*)-([1-9][0-9]*)$", 1).alias("stem")).where("stem <> ''")
-    families = stems.join(slugs.select(F.col("slug").alias("stem")), "stem", "left_semi")
-    clashing = families.select("slug").unionByName(families.select(F.col("stem").alias("slug"))).distinct()
-    own = rows.join(clashing, "slug", "left_semi")
-    ordered = own.withColumn("__order", F.struct(*order)).select("slug", "__order", "doc_id").orderBy("__order").limit(100_000).collect()
-    if not ordered:
-        return rows.drop("__n")
-    if len(ordered) == 100_000:
-        raise ValueError("too many file names clash with numbered ones")
-    used: set[str] = set()
-    given = []
-    for slug, at, old in ordered:
-        k, new = 0, slug
-        while new in used:
-            k += 1
-            new = f"{slug}-{k}"
-        used.add(new)
-        given.append((slug, old, new))
-    # (slug, numbered id) names a row: numbers differ within a slug.
-    settled = files.sparkSession.createDataFrame(given, "slug string, doc_id string, __new string")
-    return rows.join(settled, ["slug", "doc_id"], "left").withColumn("doc_id", F.coalesce("__new", "doc_id")).select(*files.columns, "slug", "doc_id")
+    rows = files.withColumn("slug", slugify(name)).withColumn("__order", F.struct(*order))
+    slugs = rows.groupBy("slug").agg(F.min("__order").alias("__order"))
+    numbered = slugs.select(F.regexp_extract("slug", NUMBERED, 1).alias("stem"), F.col("slug").alias("child"), F.regexp_extract("slug", NUMBERED, 2).alias("k"), "__order").where("stem <> ''")
+    clashing = numbered.join(slugs.select(F.col("slug").alias("stem")), "stem", "left_semi").select(F.col("stem").alias("slug"), "child", F.col("k").cast("bigint").alias("k"), "__order")
+    own = rows.join(clashing.select("slug"), "slug", "left_semi").select("slug", "__order")
+    met = own.unionByName(clashing, allowMissingColumns=True)
+    so_far = F.count(F.when(F.col("child").isNull(), 1)).over(Window.partitionBy("slug").orderBy("__order").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    by_number = met.withColumn("before", so_far).where("child is not null").select("slug", "child", "k", "before").repartition("slug").sortWithinPartitions("slug", "k")
+    walked = materialize(files.sparkSession, by_number.mapInArrow(_walk, WALKED), "slugs")
+    rows = rows.withColumn("__n", F.row_number().over(Window.partitionBy("slug").orderBy("__order")) - 1)
+    if not walked.isEmpty():
+        losing = _losing(walked)
+        moved = losing.select(F.col("child").alias("slug"), F.lit(0).alias("__n"))
+        stems = walked.join(losing.select(F.col("child").alias("slug"), F.lit(True).alias("lost")), "slug", "left")
+        passed = stems.where("if(lost, not lost_lost, not lost_kept)").select("slug", F.expr("if(lost, row_lost, row_kept)").alias("__n"))
+        both = rows.withColumn("__move", F.lit(0)).unionByName(moved.unionByName(passed).withColumn("__move", F.lit(1)), allowMissingColumns=True)
+        moves = F.sum("__move").over(Window.partitionBy("slug").orderBy("__n").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        rows = both.withColumn("__n", F.col("__n") + moves).where("__move = 0")
+    number = F.col("__n").cast("string")
+    return rows.withColumn("doc_id", F.when(F.col("__n") > 0, F.concat_ws("-", "slug", number)).otherwise(F.col("slug"))).select(*files.columns, "slug", "doc_id")

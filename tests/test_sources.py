@@ -47,6 +47,36 @@ def test_slugs(spark):
     assert got == want
 
 
+def test_clashing_slugs_equal_the_loop_without_a_cap(spark, monkeypatch):
+    import random
+
+    from pyspark.sql import DataFrame
+
+    def loop(rows):
+        used, last, want = set(), {}, {}
+        for k, s in sorted(rows):
+            n = last.get(s, 0)  # those below are in use
+            while (new := f"{s}-{n}" if n else s) in used:
+                n += 1
+            used.add(new)
+            last[s], want[k] = n, new
+        return want
+
+    rng = random.Random(7)
+    names = ["a", "a", "a", "b", "b-01", "b-99999999999999999999", *(f"a-{i}" for i in (1, 1, 2, 3, 5, 8)), "a-1-1", "a-1-2", "a-1-1-1", "a-1-1-2", "a-2-1", "a-2-1-1", "b-1-1", "b-1", "1", "1-1"]
+    tables = [[(k, f"g{g}x-{rng.choice(names)}") for k in rng.sample(range(10_000), rng.randint(2, 60))] for g in range(40)]
+    rows = [(g * 10_000 + k, s) for g, table in enumerate(tables) for k, s in table]
+    # One hot name with more rows than the driver once took, and a few numbered ones among them.
+    hot = [(1_000_000 + 2 * i, "doc") for i in range(100_100)] + [(1_050_001, "doc-1"), (999_999, "doc-3"), (1_100_001, "doc-90000"), (1_190_001, "doc-90001"), (1_120_001, "doc-200000")]
+    frame = spark.createDataFrame(rows + hot, "k int, n string").repartition(5)
+    with monkeypatch.context() as m:
+        m.setattr(DataFrame, "collect", lambda df: pytest.fail("rows are gathered"))
+        unique = with_unique_slugs(frame, F.col("n"), ["k"])
+    got = {r.k: r.doc_id for r in unique.collect()}
+    assert got == loop(rows + hot) and len(set(got.values())) == len(rows) + len(hot)
+
+
+
 def test_form_feeds_and_bytes(spark):
     rows = spark.createDataFrame([("a", "x\f\fy\f \f"), ("b", " \f"), ("c", "z")], "doc_id string, text string")
     assert [tuple(r) for r in documents.split_form_feeds(rows).orderBy("doc_id", "page_idx").collect()] == [("a", 0, "x"), ("a", 1, ""), ("a", 2, "y"), ("c", 0, "z")]
