@@ -23,6 +23,10 @@ from pagewright.sources import config, documents, emit
 from pagewright.sources.shared import materialize
 
 
+#: Failed files that are logged one by one; all are in a table beside the output.
+LOGGED_FAILURES = 1000
+
+
 def log(tool: str, **details) -> None:
     print(json.dumps({"tool": tool, **details}), file=sys.stderr)
 
@@ -65,9 +69,16 @@ def run_job(spark: SparkSession, job: config.Job, flags: config.Flags, extractor
         return config.EXIT_CODES["no_files"]
     extracted = materialize(spark, documents.extract_pages(files, extractor), "pages")
     pages = documents.good_pages(extracted)
-    failed = extracted.where("error is not null").select("doc_id", "error").orderBy("doc_id").limit(1000).collect()
-    for r in failed:
+    errors = extracted.where("error is not null").select("doc_id", "error")
+    failed, table = errors.count(), f"{job.output_dir.rstrip('/')}-failures"
+    for r in errors.orderBy("doc_id").limit(LOGGED_FAILURES).collect():
         log("poppler_extract", doc_id=r.doc_id, error=r.error)
+    try:
+        errors.write.mode("overwrite").parquet(table)
+    except Exception:  # what is written was read before, so only the folder can be at fault
+        log("emit_files", error="WriteFailed")
+        return config.EXIT_CODES["write"]
+    log("poppler_extract", failed=failed, table=table)
 
     enabled = all(which(t) for t in ocr_tools)
     summary = quality.suspect_summary(pages, cfg.min_chars, sample)

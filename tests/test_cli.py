@@ -37,6 +37,19 @@ def test_job_end_to_end(spark, tmp_path):
     assert (tmp_path / "out/a-1/artifacts/step1_extract.txt").read_text().endswith("\n-")
 
 
+def test_every_failure_leaves_a_trace(spark, tmp_path, monkeypatch, capfd):
+    os.makedirs(tmp_path / "in")
+    for n in range(5):
+        (tmp_path / f"in/f{n}.pdf").write_bytes(b"locked")
+    (tmp_path / "in/good.pdf").write_bytes(b"Pasal 1\nIsi pasal.")
+    monkeypatch.setattr(cli, "LOGGED_FAILURES", 2, raising=False)
+    assert cli.run_job(spark, job(tmp_path), config.parse_flags([]), extractor(), ocr_tools=("none",)) == config.EXIT_CODES["extraction"]
+    said = [json.loads(x) for x in capfd.readouterr().err.splitlines() if x.startswith("{")]
+    assert [x["failed"] for x in said if "failed" in x] == [5] and sum(x.get("error") == "EncryptedPDF" for x in said) == 2
+    rows = spark.read.parquet(str(tmp_path / "out-failures")).collect()
+    assert sorted((r.doc_id, r.error) for r in rows) == [(f"f{n}", "EncryptedPDF") for n in range(5)]
+
+
 def test_codes(spark, tmp_path):
     os.makedirs(tmp_path / "in")
     assert cli.run_job(spark, job(tmp_path), config.parse_flags([]), extractor(), ocr_tools=("none",)) == config.EXIT_CODES["no_files"]
