@@ -25,11 +25,12 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import map_batches, slices
+from pagewright.llm.common import map_batches, materialize, slices
 
 K1, B = 1.2, 0.75
 POSTING_BLOCK = 16
@@ -67,15 +68,28 @@ def shingles(terms: list[int], width: int) -> set[tuple[int, ...]]:
     return {tuple(terms[i : i + width]) for i in range(len(terms) - width + 1)}
 
 
+@dataclass(frozen=True)
+class Whole:
+    """What an index that holds a part of the items must know of all of them: items with terms, their terms in all and at most, items by term."""
+
+    n: int
+    terms: int
+    longest: int
+    df: tuple[tuple[str, int], ...]
+
+
 class Index:
-    """Posting lists by term: item places in order, impacts, and the largest impact of each block."""
+    """Posting lists by term: item places in order, impacts, and the largest impact of each block.
+
+    Weights and the length of passages are those of the ``whole`` benchmark, by default of ``rows`` alone.
+    """
 
-    def __init__(self, rows: list[tuple[int, str]], threshold: float, others: float) -> None:
+    def __init__(self, rows: list[tuple[int, str]], threshold: float, others: float, whole: Whole | None = None) -> None:
         import numpy as np
 
         self.threshold, self.ids = threshold, {}
         self.items = [x for i, t in sorted(rows) if (x := Item(i, t, self.ids)).terms]
-        n = len(self.items)
+        n_items = n = len(self.items)
         counts = [{} for _ in self.items]
         df: dict[int, int] = {}
         for c, item in zip(counts, self.items, strict=True):
@@ -83,10 +97,14 @@ class Index:
                 c[t] = c.get(t, 0) + 1
             for t in c:
                 df[t] = df.get(t, 0) + 1
-        average = sum(len(x.terms) for x in self.items) / max(1, n)
+        n_terms, longest = sum(len(x.terms) for x in self.items), max((len(x.terms) for x in self.items), default=0)
+        if whole:
+            n, n_terms, longest = whole.n, whole.terms, whole.longest
+            df = {self.ids[t]: k for t, k in whole.df if t in self.ids}
+        average = n_terms / max(1, n)
         self.postings: list[list[tuple[int, float]]] = [[] for _ in self.ids]
         essential: list[list[tuple[int, float]]] = [[] for _ in self.ids]
-        self.least = np.zeros(n)
+        self.least = np.zeros(n_items)
         for place, (c, item) in enumerate(zip(counts, self.items, strict=True)):
             weight = {t: math.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * f * (K1 + 1) / (f + K1 * (1 - B + B * len(item.terms) / average)) for t, f in c.items()}
             total, left = sum(weight.values()), 0.0
@@ -103,7 +121,7 @@ class Index:
         self.first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         self.essential_item = np.array([i for e in essential for i, _ in e], dtype=np.int64)
         self.essential_impact = np.array([w for e in essential for _, w in e])
-        self.stride = max(64, max((len(x.terms) for x in self.items), default=0))
+        self.stride = max(64, longest)
 
     def above(self, terms: list[int]) -> list[int]:
         """Places of the items that distinct ``terms`` score at the threshold or above, by block-max WAND."""
@@ -224,23 +242,23 @@ class Matcher:
 _kept: dict[int, Matcher] = {}
 
 
-def matcher_of(rows: list[tuple[int, str]], threshold: float, others: float) -> Matcher:
+def matcher_of(rows: list[tuple[int, str]], threshold: float, others: float, whole: Whole | None = None) -> Matcher:
     """The worker's matcher for these items, whose memory later tasks of the same worker find warm."""
-    key = hash((tuple(rows), threshold, others))
+    key = hash((tuple(rows), threshold, others, whole))
     if key not in _kept:
         _kept.clear()
-        _kept[key] = Matcher(Index(rows, threshold, others))
+        _kept[key] = Matcher(Index(rows, threshold, others, whole))
     return _kept[key]
 
 
-def _match(rows: list[tuple[int, str]], threshold: float, others: float):
+def _match(rows: list[tuple[int, str]], threshold: float, others: float, whole: Whole | None):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        matcher = matcher_of(rows, threshold, others)
-        for whole in batches:
-            for batch in slices(whole, "text"):
+        matcher = matcher_of(rows, threshold, others, whole)
+        for full in batches:
+            for batch in slices(full, "text"):
                 found = matcher.leaks(pc.fill_null(batch.column("text"), ""))
                 items = [(x or []) + found.get(i, []) for i, x in enumerate(batch.column("item_ids").to_pylist())] if found else batch.column("item_ids")
                 names = batch.schema.names
@@ -249,17 +267,39 @@ def _match(rows: list[tuple[int, str]], threshold: float, others: float):
     return run
 
 
+def _count_terms(batches: Iterator) -> Iterator:
+    """(part, term, null) of each distinct term of an item, and (part, null, terms) of each item with terms."""
+    import pyarrow as pa
+
+    for batch in batches:
+        out = []
+        for part, text in zip(batch.column("part").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            if terms := terms_of(text):
+                out += [(part, t, None) for t in set(terms)] + [(part, None, len(terms))]
+        columns = zip(*out, strict=True) if out else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int64()), strict=True)], names=["part", "term", "n_terms"])
+
+
 def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, others: float = 0.3, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """``docs`` (all columns) with item_ids, the sorted ids of the items that a text contains.
 
     ``benchmark`` has item_id and text. An index of at most about ``index_bytes`` of items is built in
-    each worker; a larger benchmark is dealt by hash of item_id to several indexes, one pass each.
+    each worker; a larger benchmark is dealt by hash of item_id to several indexes, one pass each,
+    all with the weights and passages of the whole benchmark, so that their number changes no result.
     """
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where("item_id is not null and text is not null")
     n_bytes = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
     passes = max(1, -(-n_bytes // index_bytes))
     rows = docs.drop("item_ids").withColumns({"text": F.col("text").cast("string"), "item_ids": F.array().cast("array<bigint>")})
+    items = items.withColumn("part", F.pmod(F.xxhash64("item_id"), F.lit(passes)))
+    if passes > 1:
+        counted = map_batches(items.select("part", "text"), _count_terms, "part bigint, term string, n_terms bigint")
+        counted = materialize(spark, counted.groupBy("term").agg(F.count("*").alias("n"), F.sum("n_terms").alias("terms"), F.max("n_terms").alias("longest"), F.collect_set("part").alias("parts")), "benchmark-terms")
+        total = counted.where("term is null").first()
     for k in range(passes):
-        own = items if passes == 1 else items.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k)
-        rows = map_batches(rows, _match([tuple(r) for r in own.collect()], threshold, others), rows.schema)
+        own, whole = items.where(F.col("part") == k).select("item_id", "text"), None
+        if passes > 1 and total:
+            df = counted.where(F.col("term").isNotNull() & F.array_contains("parts", F.lit(k).cast("bigint"))).select("term", "n")
+            whole = Whole(total.n, total.terms, total.longest, tuple(sorted(map(tuple, df.collect()))))
+        rows = map_batches(rows, _match([tuple(r) for r in own.collect()], threshold, others, whole), rows.schema)
     return rows.withColumn("item_ids", F.array_sort(F.array_distinct("item_ids")))

@@ -69,6 +69,21 @@ def test_operator_equals_brute_force(spark):
     assert D.find_leaks(spark, frame.where("false"), bench).collect() == []
 
 
+def test_several_passes_equal_one(spark):
+    rows, common, rare, rng = items_of(80, 3)
+    docs = []
+    for d in range(600):
+        item = rng.choice(rows)[1].split()
+        start = rng.choice((0, 0, rng.randint(0, len(item) // 5)))
+        kept = item[start : start + round(len(item) * rng.uniform(0.78, 1))]
+        docs.append((d, " ".join(rng.choices(common + rare, k=rng.choice((3, 150))) + kept + rng.choices(common, k=100))))
+    # A long item in one part sets the length of passages in all.
+    rows.append((80, " ".join(rng.choices(rare, k=200))))
+    bench, frame = spark.createDataFrame(rows, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    one, several = ({r.doc_id: r.item_ids for r in D.find_leaks(spark, frame, bench, threshold=0.8, index_bytes=n).collect()} for n in (1 << 20, 7000))
+    assert several == one and 200 < sum(map(bool, one.values())) < 600
+
+
 def test_whole_table_finds_verbatim_items(spark):
     sf = "/root/testdata/sf0.01"
     items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
