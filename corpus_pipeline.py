@@ -40,7 +40,11 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row of smallest doc_id stays of each group; rows are told apart by a number of their own."""
+    """The row of smallest doc_id stays of each group; rows are told apart by a number of their own.
+
+    Groups are op7's, with its contract parameters: four-word shingles, fingerprints that differ in 4 bits at most. That
+    is not a similarity of 0.8 over five words: near copies of that kind with more differing bits all stay (README).
+    """
     rows = materialize(spark, docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("rid")), "pipeline-rows")
     groups = simhash.near_duplicates(spark, rows.select(F.col("rid").alias("doc_id"), F.col("row.text").alias("text")))
     order = F.struct(F.col("id").isNull(), "id", "rid")
