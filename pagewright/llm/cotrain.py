@@ -7,7 +7,8 @@ these join the other one's training rows. Last, both are calibrated on labelled
 training, and their calibrated log-odds are added, less the prior that both contain: a view that tells
 nothing then adds nothing.
 
-The labelled rows and the pool are bounded samples, by hash of id (``Limits``); every document is scored.
+The labelled rows are a bounded sample, by hash of id (``Limits``). All other documents are the pool, those with a label
+outside the sample among them: executors score it in each round, and only the surest rows are gathered.
 
 Defined results: a null or empty text has no words and is scored by its other features. Null metadata
 are values of their own. Labels that are null, or whose id no document has, teach nothing; with labels
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import map_batches, slices
+from pagewright.llm.common import map_batches, materialize, slices
 
 WORDS, SHAPES, RATIOS, META = 1 << 13, 1 << 9, 6, 1 << 8
 CACHE_WORDS = 250_000
@@ -33,10 +34,10 @@ CACHE_WORDS = 250_000
 
 @dataclass(frozen=True)
 class Limits:
-    """Bounds of what is gathered to fit the classifiers."""
+    """Bounds of what is gathered to fit the classifiers; ``pool`` bounds what is scored in each round, None for every row."""
 
     labelled: int = 3000
-    pool: int = 3000
+    pool: int | None = None
     rounds: int = 3
     per_round: int = 300
     sure: float = 0.95
@@ -181,25 +182,62 @@ def _stack(rows: list, width: int):
     return row, column, value, len(rows)
 
 
+FEATURES = "doc_id bigint, y int, meta array<int>, size int, columns array<int>, counts array<int>, ratios array<float>"
+
+
 def _features(batches: Iterator) -> Iterator:
-    """Sparse text features of the sampled rows."""
+    """Features of both views: buckets of metadata; distinct buckets of words and shapes with their counts, number of words, ratios."""
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
 
     view = text_view()
+    lists = lambda sizes, values, kind: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values, kind))
     for whole in batches:
         for batch in slices(whole, "text"):
             row, word, shaped, count, ratios = view.words(pc.fill_null(batch.column("text"), ""))
-            columns, values = [], []
-            ends = np.cumsum(count)
-            for i in range(batch.num_rows):
-                own = slice(ends[i] - count[i], ends[i])
-                c, n = np.unique(np.concatenate([word[own], shaped[own]]), return_counts=True)
-                columns.append(np.concatenate([c, view.width + np.arange(RATIOS)]).tolist())
-                values.append(np.concatenate([n / max(1, count[i]), ratios[i]]).tolist())
-            kept = [x for x in batch.schema.names if x != "text"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(columns, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))], names=[*kept, "columns", "values"])
+            key, n = np.unique(np.concatenate([row, row]) * view.width + np.concatenate([word, shaped]), return_counts=True)
+            sizes = np.bincount(key // view.width, minlength=batch.num_rows)
+            meta = [meta_columns(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("source", "lang", "n_bytes")), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("y"), pa.array(meta, pa.list_(pa.int32())), pa.array(count, pa.int32()), lists(sizes, key % view.width, pa.int32()), lists(sizes, n, pa.int32()), lists(np.full(batch.num_rows, RATIOS), ratios.ravel(), pa.float32())],
+                names=["doc_id", "y", "meta", "size", "columns", "counts", "ratios"],
+            )
+
+
+def _surest(models: dict, given: dict, most: dict, least: float):
+    """The rows of the pool that each view is surest of, ``most[label]`` of a label and task at most, less those the other view was given."""
+    text, meta, used = (models["text"].w, models["text"].b), (models["meta"].w, models["meta"].b), {k: list(v) for k, v in given.items()}
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        none = np.zeros(0, dtype=np.int64)
+        best = {(name, label): (np.zeros(0), none, none) for name in used for label in most}
+        flat = lambda batch, c: batch.column(c).flatten().to_numpy(zero_copy_only=False)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rid, doc_id, size = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("rid", "doc_id", "size"))
+            row = np.repeat(np.arange(batch.num_rows), batch.column("columns").value_lengths().to_numpy(zero_copy_only=False))
+            both = np.bincount(row, weights=flat(batch, "counts") * text[0][flat(batch, "columns")], minlength=batch.num_rows)
+            raw = {
+                "text": both / np.maximum(1, size) + flat(batch, "ratios").reshape(-1, RATIOS) @ text[0][TextView.width :] + text[1],
+                "meta": meta[0][flat(batch, "meta").reshape(-1, 3)].sum(axis=1) + meta[1],
+            }
+            for name, other in (("text", "meta"), ("meta", "text")):
+                p, free = 1 / (1 + np.exp(-np.clip(raw[name], -30, 30))), ~np.isin(rid, used[other])
+                for label, n in most.items():
+                    sure = p if label else 1 - p
+                    own = free & (sure >= least)
+                    s, d, r = (np.concatenate([x, y[own]]) for x, y in zip(best[name, label], (sure, doc_id, rid), strict=True))
+                    order = np.lexsort((r, d, -s))[:n]
+                    best[name, label] = s[order], d[order], r[order]
+        for (name, label), (s, d, r) in best.items():
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(s), pa.string()), pa.array([label] * len(s), pa.int32()), pa.array(s, pa.float64()), pa.array(d, pa.int64()), pa.array(r, pa.int64())], names=["view", "label", "sure", "doc_id", "rid"])
+
+    return run
 
 
 @dataclass
@@ -221,24 +259,21 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", limits: Limits = Limits()) -> Model:
-    """Co-train on samples of ``docs`` with and without a label; ``labels`` has doc_id and ``target`` (0 or 1)."""
+    """Co-train on a labelled sample of ``docs`` and on all others; ``labels`` has doc_id and ``target`` (0 or 1)."""
     import numpy as np
 
-    scale = 1 << 30
+    spark, scale = docs.sparkSession, 1 << 30
     rank = F.pmod(F.xxhash64("doc_id", F.lit("cotrain")), F.lit(scale))
     known = labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(F.col(target).cast("int")).alias("y"))
-    n_known, n_docs = known.count(), docs.count()
-    share = min(scale, scale * limits.labelled // max(1, n_known))
-    sample = known.where(rank < share)
-    rows = _rows(docs).where(F.col("doc_id").isNotNull())
-    # The samples stand within the bounds up to chance: ids are dealt by hash.
-    pool_share = min(scale, scale * limits.pool // max(1, n_docs))
-    wanted = rows.where((rank < share) | (rank < pool_share)).join(F.broadcast(sample), "doc_id", "left").where(F.col("y").isNotNull() | (rank < pool_share))
-    schema = "doc_id bigint, source string, lang string, n_bytes bigint, y int, columns array<int>, values array<float>"
-    got = map_batches(wanted.select("doc_id", "source", "lang", "n_bytes", "y", "text"), _features, schema).collect()
-    got.sort(key=lambda r: r.doc_id)
+    # A sample stands within its bound up to chance: ids are dealt by hash.
+    share = min(scale, scale * limits.labelled // max(1, known.count()))
+    rows = _rows(docs).where(F.col("doc_id").isNotNull()).join(F.broadcast(known.where(rank < share)), "doc_id", "left")
+    if limits.pool is not None:
+        rows = rows.where(F.col("y").isNotNull() | (rank < min(scale, scale * limits.pool // max(1, docs.count()))))
+    rows = map_batches(rows.select("doc_id", "source", "lang", "n_bytes", "y", "text"), _features, FEATURES)
+    rows = materialize(spark, rows.withColumn("rid", F.monotonically_increasing_id()), "cotrain-features")
+    labelled, pool = sorted(rows.where("y is not null").collect(), key=lambda r: (r.doc_id, r.rid)), rows.where("y is null")
     width = TextView.width + RATIOS
-    labelled, pool = [r for r in got if r.y is not None], [r for r in got if r.y is None]
     y = np.array([float(r.y > 0) for r in labelled])
     if not len(y) or y.min() == y.max():
         odds = 0.0 if not len(y) else (30.0 if y[0] else -30.0)
@@ -246,29 +281,35 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", limits: Lim
     back = np.array([zlib.crc32(f"back{r.doc_id}".encode()) % 1000 < 1000 * limits.held_back for r in labelled])
     if back.all() or not back.any() or len(set(y[~back])) < 2 or len(set(y[back])) < 2:
         back[:] = False
-    text_of = lambda rs: _stack([(r.columns, r.values) for r in rs], width)
-    meta_of = lambda rs: _stack([(meta_columns(r.source, r.lang, r.n_bytes), np.ones(3)) for r in rs], META)
+    dense = TextView.width + np.arange(RATIOS)
+    text_of = lambda rs: _stack([(np.append(r.columns, dense), np.append(np.asarray(r.counts, dtype=float) / max(1, r.size), r.ratios)) for r in rs], width)
+    meta_of = lambda rs: _stack([(r.meta, np.ones(3)) for r in rs], META)
     train = [r for r, b in zip(labelled, back, strict=True) if not b]
     views = {"text": (text_of, Logistic(width)), "meta": (meta_of, Logistic(META, 1e-3))}
-    given = {"text": {}, "meta": {}}  # pseudo-labels that each view was given: place in the pool, label
+    given = {"text": {}, "meta": {}}  # pseudo-labels that each view was given: rid in the pool, label
+    seen = {}  # rows of the pool that were given
     base = float(y.mean())
+    most = {1: round(limits.per_round * base), 0: round(limits.per_round * (1 - base))}
     for k in range(limits.rounds + 1):
         for name, (of, model) in views.items():
             extra = given[name]
-            model.fit(of(train + [pool[i] for i in extra]), np.concatenate([y[~back], np.array([extra[i] for i in extra], dtype=float)]))
-        if k == limits.rounds or not pool:
+            model.fit(of(train + [seen[i] for i in extra]), np.concatenate([y[~back], np.array([extra[i] for i in extra], dtype=float)]))
+        if k == limits.rounds:
+            break
+        # Every row of the pool is scored where it lies; a few numbers of each task's surest come back, and the features of those taken.
+        surest = map_batches(pool, _surest({name: model for name, (_, model) in views.items()}, given, most, limits.sure), "view string, label int, sure double, doc_id bigint, rid bigint").toArrow().to_pylist()
+        surest.sort(key=lambda r: (r["view"] != "text", -r["label"], -r["sure"], r["doc_id"], r["rid"]))
+        taken = dict.fromkeys(((v, c) for v in views for c in most), 0)
+        before = {name: len(x) for name, x in given.items()}
+        for r in surest:
+            of, other = (r["view"], r["label"]), "meta" if r["view"] == "text" else "text"
+            if taken[of] < most[r["label"]] and r["rid"] not in given[other]:
+                given[other][r["rid"]] = float(r["label"])
+                taken[of] += 1
+        if before == {name: len(x) for name, x in given.items()}:
             break
-        for name, other in (("text", "meta"), ("meta", "text")):
-            of, model = views[name]
-            p = 1 / (1 + np.exp(-np.clip(model.raw(of(pool)), -30, 30)))
-            for label, most, sure in ((1.0, round(limits.per_round * base), p), (0.0, round(limits.per_round * (1 - base)), 1 - p)):
-                taken = 0
-                for i in np.argsort(-sure, kind="stable").tolist():
-                    if taken >= most or sure[i] < limits.sure:
-                        break
-                    if i not in given[other]:
-                        given[other][i] = label
-                        taken += 1
+        new = sorted({i for x in given.values() for i in x} - seen.keys())
+        seen |= {r.rid: r for r in pool.join(F.broadcast(spark.createDataFrame([(i,) for i in new], "rid bigint")), "rid", "left_semi").collect()} if new else {}
     test = [r for r, b in zip(labelled, back, strict=True) if b] or labelled
     y_test = y[back] if back.any() else y
     scales = {name: platt(model.raw(of(test)), y_test) for name, (of, model) in views.items()}

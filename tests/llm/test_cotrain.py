@@ -34,6 +34,20 @@ def test_a_view_that_tells_nothing_adds_nothing():
     assert abs(p.mean() - y.mean()) < 0.02
 
 
+def test_pool_is_every_row_outside_the_sample(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    quality = [int(rng.random() < 0.5) for _ in range(6000)]
+    text = [" ".join(rng.choice(["fine", "good", "word"] if q else ["spam", "junk", "word"], 8)) for q in quality]
+    docs = spark.createDataFrame([(i, t, "en", f"site{q}") for i, (t, q) in enumerate(zip(text, quality, strict=True))], "doc_id long, text string, lang string, source string").repartition(3)
+    labels = spark.createDataFrame(list(enumerate(quality)), "doc_id long, quality int")
+    fitted, fit = [], cotrain.Logistic.fit
+    monkeypatch.setattr(cotrain.Logistic, "fit", lambda self, x, y, **more: fitted.append(len(y)) or fit(self, x, y, **more))
+    # Every document has a label, and a round may take more rows than the bounded pool once had.
+    limits = cotrain.Limits(labelled=400, rounds=1, per_round=5000, sure=0.5)
+    cotrain.fit(docs, labels, limits=limits)
+    assert len(fitted) == 4 and min(fitted[2:]) > fitted[0] + 4000
+
+
 def test_nulls_single_class_and_empty(spark):
     schema = "doc_id long, text string, lang string, source string, score string"
     docs = spark.createDataFrame([(1, None, None, None, "x"), (None, "a b", "en", "s", "x"), (2, "w " * 100_000, "en", "s", "x"), (2, "", "en", "s", "x")], schema)
