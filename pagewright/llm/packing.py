@@ -18,7 +18,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import map_batches, materialize, slices
+from pagewright.llm.common import broadcast_if, map_batches, materialize, slices
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 #: Word pieces that a worker remembers before it starts afresh.
@@ -32,11 +32,16 @@ class WordTokenizer:
     white space. Each different part is encoded once per worker and remembered.
 
     Two steps leave fewer different parts, and change no id: A-Z become a-z, which the normalizer does
-    as well, and a blank is set between a letter and an ASCII mark other than an apostrophe, where the
-    pre-tokenizer cuts in any case. Texts with ``<|``, which special tokens start with, are left alone.
+    as well, and a blank is set between a Latin letter and an ASCII mark other than an apostrophe, where
+    the pre-tokenizer cuts in any case. Letters that the normalizer takes apart are no part of that: behind
+    U+0130 in lower case, or behind a decomposed letter, a combining mark would join the ASCII mark's run.
+    Texts with combining marks are left alone, since these compose with some small letters whose capitals
+    they do not compose with, and so are texts with ``<|``, which special tokens start with.
     """
 
-    marked = r"(\pL)([.,%*#&$|!?;:])"
+    #: Latin letters up to U+024F that stay one letter, but for their case; then an ASCII mark.
+    marked = r"([A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}])([.,%*#&$|!?;:])"
+    left_alone = r"<\||\pM"
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -99,7 +104,7 @@ class WordTokenizer:
         import pyarrow.compute as pc
 
         plain = pc.replace_substring_regex(pc.ascii_lower(texts), self.marked, r"\1 \2")
-        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, plain)
+        texts = pc.if_else(pc.match_substring_regex(texts, self.left_alone), texts, plain)
         parts = pc.ascii_split_whitespace(texts)
         per_text = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
         coded = parts.flatten().dictionary_encode()
@@ -158,15 +163,14 @@ def _tokenize(path: str, end_id: int):
     return run
 
 
-def _cut(base: dict[int, int], window: int):
+def _cut(window: int):
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            n, part, before = (batch.column(c).to_numpy() for c in ("n", "part", "before"))
+            n, start = (batch.column(c).to_numpy() for c in ("n", "start"))
             ids = batch.column("ids").to_pylist()
-            start = before + np.fromiter((base[p] for p in part.tolist()), dtype=np.int64, count=len(part))
             first, last = start // window, (start + n - 1) // window
             row = np.repeat(np.arange(len(n)), last - first + 1)
             sequence = np.arange(len(row)) - np.repeat(np.cumsum(last - first + 1) - (last - first + 1), last - first + 1) + first[row]
@@ -190,7 +194,10 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer_path: str, window: int
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     coded = map_batches(rows, _tokenize(tokenizer_path, end_id), "doc_id bigint, ids binary, n bigint, part int, before bigint")
     coded = materialize(spark, coded, "packing")
-    base, total = {}, 0
+    totals, at = [], 0
     for part, n in sorted(map(tuple, coded.groupBy("part").agg(F.sum("n")).collect())):  # a number for each task
-        base[part], total = total, total + n
-    return map_batches(coded, _cut(base, window), PIECES)
+        totals.append((part, at))
+        at += n
+    bases = spark.createDataFrame(totals, "part int, base bigint")
+    placed = coded.join(broadcast_if(bases, 32 * len(totals)), "part").select("doc_id", "ids", "n", (F.col("base") + F.col("before")).alias("start"))
+    return map_batches(placed, _cut(window), PIECES)
