@@ -11,7 +11,7 @@ smallest hash of id. Every document is predicted from its whole text.
 
 Defined results: a text that is null, empty or without letters gives ``und`` and score 0, and so does
 every text if nothing was learned. Ties go to the language that sorts first. Repeated rows are predicted
-row by row. An empty table gives an empty result. Columns beyond those named are ignored.
+row by row, and each teaches as often as it stands in the sample. An empty table gives an empty result. Columns beyond those named are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import map_batches, slices
+from pagewright.llm.common import broadcast_if, map_batches, slices
 
 DIMENSIONS = 1024
 SEED = 7
@@ -29,6 +29,10 @@ SEED = 7
 SLICE_BYTES = 1 << 20
 #: Up to this many different letters, trigrams are counted in a table; above, by sorting.
 TABLE_LETTERS = 160
+#: Different trigrams that are bound at once, and prototypes that a batch is compared with at once: a vector each.
+GRAMS, PROTOTYPES = 4096, 2048
+#: Languages whose sums a task holds before it hands them on.
+HELD = 512
 
 
 class Profiler:
@@ -50,15 +54,20 @@ class Profiler:
             self.drawn[letter] = np.random.default_rng([SEED, letter]).integers(0, 2, self.dimensions, dtype=np.int8) * 2 - 1
         return self.drawn[letter]
 
-    def trigrams(self, letters, a, b, c):
-        """The bound vectors of trigrams, given as places in ``letters``."""
+    def trigrams(self, a, b, c):
+        """The bound vectors of trigrams, given as letters."""
         import numpy as np
 
-        one = np.stack([self.vector(int(x)) for x in letters])
-        return np.roll(one, 2, axis=1)[a] * np.roll(one, 1, axis=1)[b] * one[c]
+        letters, at = np.unique(np.concatenate([a, b, c]), return_inverse=True)
+        one, (x, y, z) = np.stack([self.vector(int(v)) for v in letters]), np.split(at, 3)
+        return np.roll(one, 2, axis=1)[x] * np.roll(one, 1, axis=1)[y] * one[z]
 
     def vectors(self, texts: list[str]):
-        """(vectors of unit length, whether there is a letter) for each text."""
+        """(vectors of unit length, whether there is a letter) for each text.
+
+        Trigrams are bound some at a time, so that a text of many different ones takes no more memory. Counts are
+        whole numbers, and so are their sums: the order of addition changes nothing below 2**24.
+        """
         import numpy as np
 
         low = [t.lower() for t in texts]
@@ -76,25 +85,35 @@ class Profiler:
             return out, some
         letters, small = self._places(points)
         a, b, c, owner = small[middle - 1], small[middle], small[middle + 1], doc[middle]
+        some[np.unique(owner)] = True
         k = len(letters)
         code = (a.astype(np.int64) * k + b) * k + c
         if k <= TABLE_LETTERS:
-            present = np.zeros(k**3, dtype=np.int64)
+            present = np.zeros(k**3, dtype=np.int32)
             present[code] = 1
             grams = np.flatnonzero(present)
             present[grams] = np.arange(len(grams))
             code = present[code]
         else:
             grams, code = np.unique(code, return_inverse=True)
-        bound = self.trigrams(letters, grams // (k * k), grams // k % k, grams % k).astype(np.float32)
         first = np.searchsorted(owner, np.arange(len(texts) + 1))
-        for i in range(len(texts)):
+        counted = []  # of each text: its trigrams in order, with their counts
+        for i in np.flatnonzero(some).tolist():
             mine = code[first[i] : first[i + 1]]
-            if len(mine):
-                counts = np.bincount(mine)
-                there = np.flatnonzero(counts)
-                out[i] = counts[there].astype(np.float32) @ bound[there]
-                some[i] = True
+            if 8 * len(mine) < len(grams):
+                there, count = np.unique(mine, return_counts=True)
+            else:
+                count = np.bincount(mine)
+                there = np.flatnonzero(count)
+                count = count[there]
+            counted.append((i, there, count.astype(np.float32)))
+        for lo in range(0, len(grams), GRAMS):
+            own = grams[lo : lo + GRAMS]
+            bound = self.trigrams(letters[own // (k * k)], letters[own // k % k], letters[own % k]).astype(np.float32)
+            for i, there, count in counted:
+                x, y = np.searchsorted(there, (lo, lo + GRAMS)) if len(grams) > GRAMS else (0, len(there))
+                if y > x:
+                    out[i] += count[x:y] @ bound[there[x:y] - lo]
         out /= np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
         return out, some
 
@@ -120,47 +139,63 @@ def profiler_of(dimensions: int) -> Profiler:
 
 
 def _bundle(dimensions: int):
+    """Sums of vectors by language; a task hands on what it holds when it has met many languages."""
+
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         profiler, sums = profiler_of(dimensions), {}
+        rows = lambda: pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))], names=["lang", "bundle"])
         for whole in batches:
             for batch in slices(whole, "text", SLICE_BYTES):
                 vectors, some = profiler.vectors(batch.column("text").to_pylist())
                 langs = np.array(batch.column("lang").to_pylist(), dtype=object)
-                for lang in set(langs[some]):
+                for lang in sorted(set(langs[some])):
                     sums[lang] = sums.get(lang, 0) + vectors[some & (langs == lang)].sum(axis=0, dtype=np.float64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))], names=["lang", "bundle"])
+                    if len(sums) >= HELD:
+                        yield rows()
+                        sums.clear()
+        yield rows()
 
     return run
 
 
-def fit_prototypes(docs: DataFrame, train_rows: int = 4000, dimensions: int = DIMENSIONS, most_languages: int = 1000):
+def fit_prototypes(docs: DataFrame, train_rows: int = 4000, dimensions: int = DIMENSIONS):
     """(languages, prototypes of unit length) from columns doc_id, text, lang; rows with a null among them teach nothing.
 
-    The sample holds about ``train_rows`` rows for each language (all, if it has fewer). What the driver
-    gathers is one vector for each language and task of the sample.
+    The sample holds about ``train_rows`` rows for each language (all, if it has fewer). The model that the
+    driver gathers is one vector for each language, however many there are; sums of tasks are added by executors.
     """
     import numpy as np
 
-    known = docs.where("doc_id is not null and text is not null and lang is not null")
-    sizes = {r[0]: r[1] for r in known.groupBy("lang").count().limit(most_languages + 1).collect()}
-    if len(sizes) > most_languages:
-        raise ValueError(f"more than {most_languages} languages")
-    if not sizes:
-        return [], np.zeros((0, dimensions), dtype=np.float32)
+    known = docs.where("doc_id is not null and text is not null and lang is not null").withColumn("lang", F.col("lang").cast("string"))
     scale = 1 << 30
-    ranks = F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(scale))
-    chosen = F.lit(False)
-    for lang, n in sizes.items():
-        chosen = chosen | ((F.col("lang") == lang) & (ranks < min(scale, scale * train_rows // n)))
-    sums = {lang: np.zeros(dimensions) for lang in sorted(sizes)}
-    for lang, bundle in map_batches(known.where(chosen).select("text", "lang"), _bundle(dimensions), "lang string, bundle array<double>").collect():
-        sums[lang] += bundle
-    norms = {lang: np.linalg.norm(v) for lang, v in sums.items()}
-    langs = [lang for lang in sums if norms[lang] > 0]
-    return langs, np.array([sums[x] / norms[x] for x in langs], dtype=np.float32).reshape(len(langs), dimensions)
+    sizes = known.groupBy("lang").count()
+    n_bytes = sizes.agg(F.coalesce(F.sum(F.octet_length("lang") + 32), F.lit(0))).first()[0]
+    if not n_bytes:
+        return [], np.zeros((0, dimensions), dtype=np.float32)
+    shares = sizes.select("lang", F.least(F.lit(scale), F.expr(f"{scale * train_rows}L div count")).alias("__share"))
+    chosen = known.select("doc_id", "text", "lang").join(broadcast_if(shares, n_bytes), "lang").where(F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(scale)) < F.col("__share"))
+    bundles = map_batches(chosen.select("text", "lang"), _bundle(dimensions), "lang string, bundle array<double>")
+    added = bundles.select("lang", F.posexplode("bundle").alias("place", "x")).groupBy("lang", "place").agg(F.sum("x").alias("x"))
+    whole = added.groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "x"))), lambda p: p["x"]).alias("bundle"))
+    sums = {lang: np.asarray(bundle) for lang, bundle in sorted(map(tuple, whole.collect()))}
+    langs = [lang for lang, v in sums.items() if np.linalg.norm(v) > 0]
+    return langs, np.array([sums[x] / np.linalg.norm(sums[x]) for x in langs], dtype=np.float32).reshape(len(langs), dimensions)
+
+
+def nearest(vectors, prototypes):
+    """(place of the prototype of largest cosine, the first of equals; that cosine) of each vector."""
+    import numpy as np
+
+    best, score = np.zeros(len(vectors), dtype=np.int64), np.full(len(vectors), -np.inf, dtype=np.float32)
+    for lo in range(0, len(prototypes), PROTOTYPES):
+        near = vectors @ prototypes[lo : lo + PROTOTYPES].T
+        at = near.argmax(axis=1)
+        own = near[np.arange(len(near)), at]
+        best, score = np.where(own > score, lo + at, best), np.maximum(own, score)
+    return best, score
 
 
 def _predict(langs: list[str], prototypes):
@@ -175,9 +210,8 @@ def _predict(langs: list[str], prototypes):
             for batch in slices(whole, "__text", SLICE_BYTES):
                 vectors, some = profiler.vectors(pc.fill_null(batch.column("__text"), "").to_pylist())
                 if len(langs):
-                    near = vectors @ prototypes.T
-                    best = np.where(some, near.argmax(axis=1), len(langs))
-                    score = np.where(some, np.clip(near.max(axis=1), 0, 1), 0)
+                    best, score = nearest(vectors, prototypes)
+                    best, score = np.where(some, best, len(langs)), np.where(some, np.clip(score, 0, 1), 0)
                 else:
                     best, score = np.zeros(len(some), dtype=np.int64), np.zeros(len(some))
                 kept = [batch.column(i) for i in range(batch.num_columns) if batch.schema.names[i] != "__text"]
