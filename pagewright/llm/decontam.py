@@ -13,30 +13,35 @@ done. The rest go through posting lists cut into blocks with their maximal impac
 each document is read whole, and no passage above the threshold is missed.
 
 Terms are words in lower case without anything but letters and digits; words without either are left out.
+An item of fewer than five terms ("Yes.") is no evidence inside a longer text: it is found only in a text
+whose terms are the item's, one for one.
 
 Defined results: a null or empty text has no leaks. Items that are null or without terms are ignored;
 repeated items are found under each of their ids. Repeated rows and null ids of documents keep a row
-each. An empty table gives an empty result, an empty benchmark no leaks. Columns beyond those named are
-ignored.
+each. An empty table gives an empty result, an empty benchmark no leaks. All columns of the documents
+pass through, but for one named item_ids, which the result replaces.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from array import array
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from pagewright.llm.common import map_batches, materialize, slices
+from pagewright.llm.common import broadcast_if, map_batches, materialize, slices
 
 K1, B = 1.2, 0.75
 POSTING_BLOCK = 16
 SHINGLE, SHARED = 5, 0.8
-#: Bytes of items that one index holds; a larger benchmark takes a pass for each index.
-INDEX_BYTES = 16 << 20
+#: Bytes of items that one index holds, at about ten bytes of memory each; a larger benchmark takes a pass for each index.
+INDEX_BYTES = 8 << 20
 #: Words that a worker remembers before it starts afresh.
 CACHE_WORDS = 250_000
 
@@ -52,20 +57,31 @@ def terms_of(text: str) -> list[str]:
     return [t for w in text.split() if (t := term_of(w))]
 
 
+def shingles(terms: Iterable[int], width: int) -> set[tuple[int, ...]]:
+    terms = list(terms)
+    return {tuple(terms[i : i + width]) for i in range(len(terms) - width + 1)}
+
+
 class Item:
-    def __init__(self, item_id: int, text: str, ids: dict[str, int]) -> None:
-        self.item_id = item_id
-        number = lambda t: [ids.setdefault(x, len(ids)) for x in terms_of(t)]
-        sentences = re.split(r"(?<=[.!?])\s+", text.strip())
-        self.terms = number(text)
-        self.question = set(number(" ".join(sentences[:-1]) or text))
-        self.answer = set(number(sentences[-1])) if len(sentences) > 1 else set()
-        self.width = min(SHINGLE, len(self.terms))
-        self.shingles = shingles(self.terms, self.width)
+    """An item's terms as numbers; the last ``answer`` of them are its answer."""
 
+    __slots__ = ("answer", "item_id", "terms")
 
-def shingles(terms: list[int], width: int) -> set[tuple[int, ...]]:
-    return {tuple(terms[i : i + width]) for i in range(len(terms) - width + 1)}
+    def __init__(self, item_id: int, text: str, ids: dict[str, int]) -> None:
+        sentences = re.split(r"(?<=[.!?])\s+", text.strip())
+        self.item_id, self.terms = item_id, array("i", (ids.setdefault(x, len(ids)) for x in terms_of(text)))
+        self.answer = len(terms_of(sentences[-1])) if len(sentences) > 1 else 0
+
+    def stands_in(self, passage: list[int]) -> bool:
+        """Whether the passage shares enough shingles of the item, and terms of its question and its answer."""
+        there, own = set(passage), shingles(self.terms, SHINGLE)
+        cut = len(self.terms) - self.answer
+        question, answer = set(self.terms[:cut] or self.terms), set(self.terms[cut:])
+        return (
+            len(own & shingles(passage, SHINGLE)) >= SHARED * len(own)
+            and 2 * len(question & there) >= len(question)
+            and 2 * len(answer & there) >= len(answer)
+        )
 
 
 @dataclass(frozen=True)
@@ -78,6 +94,21 @@ class Whole:
     df: tuple[tuple[str, int], ...]
 
 
+class Lists:
+    """Lists of (place, impact), one for each term, end to end in two arrays."""
+
+    def __init__(self, terms, places, impacts, n_terms: int) -> None:
+        import numpy as np
+
+        order = np.argsort(terms, kind="stable")
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=n_terms))]).astype(np.int64)
+        self.place, self.impact = places[order], impacts[order]
+
+    def __getitem__(self, term: int) -> list[tuple[int, float]]:
+        a, b = self.first[term], self.first[term + 1]
+        return list(zip(self.place[a:b].tolist(), self.impact[a:b].tolist(), strict=True))
+
+
 class Index:
     """Posting lists by term: item places in order, impacts, and the largest impact of each block.
 
@@ -88,51 +119,63 @@ class Index:
         import numpy as np
 
         self.threshold, self.ids = threshold, {}
-        self.items = [x for i, t in sorted(rows) if (x := Item(i, t, self.ids)).terms]
-        n_items = n = len(self.items)
-        counts = [{} for _ in self.items]
-        df: dict[int, int] = {}
-        for c, item in zip(counts, self.items, strict=True):
-            for t in item.terms:
-                c[t] = c.get(t, 0) + 1
-            for t in c:
-                df[t] = df.get(t, 0) + 1
-        n_terms, longest = sum(len(x.terms) for x in self.items), max((len(x.terms) for x in self.items), default=0)
+        found = [x for i, t in sorted(rows) if (x := Item(i, t, self.ids)).terms]
+        df = array("l", bytes(8 * len(self.ids)))
+        for item in found:
+            for t in set(item.terms):
+                df[t] += 1
+        n, n_terms, longest = len(found), sum(len(x.terms) for x in found), max((len(x.terms) for x in found), default=0)
         if whole:
             n, n_terms, longest = whole.n, whole.terms, whole.longest
-            df = {self.ids[t]: k for t, k in whole.df if t in self.ids}
+            for t, k in whole.df:
+                if t in self.ids:
+                    df[self.ids[t]] = k
         average = n_terms / max(1, n)
-        self.postings: list[list[tuple[int, float]]] = [[] for _ in self.ids]
-        essential: list[list[tuple[int, float]]] = [[] for _ in self.ids]
-        self.least = np.zeros(n_items)
-        for place, (c, item) in enumerate(zip(counts, self.items, strict=True)):
-            weight = {t: math.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * f * (K1 + 1) / (f + K1 * (1 - B + B * len(item.terms) / average)) for t, f in c.items()}
+        self.stride = max(64, longest)
+        #: Items by place, and the ids of items too short for shingles by their terms.
+        self.items, self.short = [], {}
+        for item in found:
+            if len(item.terms) < SHINGLE:
+                self.short.setdefault(tuple(item.terms), []).append(item.item_id)
+            else:
+                self.items.append(item)
+        terms, places, impacts, needed = array("i"), array("i"), array("d"), array("b")
+        self.least = np.zeros(len(self.items))
+        for place, item in enumerate(self.items):
+            weight = {t: math.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * f * (K1 + 1) / (f + K1 * (1 - B + B * len(item.terms) / average)) for t, f in Counter(item.terms).items()}
             total, left = sum(weight.values()), 0.0
             for t, w in sorted(weight.items(), key=lambda x: (x[1], x[0])):
-                self.postings[t].append((place, w / total))
-                if left + w / total < others:
-                    left += w / total
-                else:
-                    essential[t].append((place, w / total))
+                few = left + w / total < others
+                left += w / total if few else 0.0
+                terms.append(t)
+                places.append(place)
+                impacts.append(w / total)
+                needed.append(not few)
             self.least[place] = threshold - left - 1e-9
-        self.blocks = [[(p[min(k + POSTING_BLOCK, len(p)) - 1][0], max(w for _, w in p[k : k + POSTING_BLOCK])) for k in range(0, len(p), POSTING_BLOCK)] for p in self.postings]
-        self.most = [max((w for _, w in p), default=0.0) for p in self.postings]
-        sizes = np.array([len(e) for e in essential], dtype=np.int64)
-        self.first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        self.essential_item = np.array([i for e in essential for i, _ in e], dtype=np.int64)
-        self.essential_impact = np.array([w for e in essential for _, w in e])
-        self.stride = max(64, longest)
+        terms, places, impacts, needed = np.array(terms, dtype=np.int32), np.array(places, dtype=np.int32), np.array(impacts), np.array(needed, dtype=bool)
+        self.postings = Lists(terms, places, impacts, len(self.ids))
+        essential = Lists(terms[needed], places[needed], impacts[needed], len(self.ids))
+        self.first, self.essential_item, self.essential_impact = essential.first, essential.place, essential.impact
+
+    def query(self, terms: list[int]) -> list[tuple[list, list, float]]:
+        """For each term that is there: its postings, the last place and largest impact of each of their blocks, the largest of all."""
+        out = []
+        for t in terms:
+            if p := self.postings[t]:
+                blocks = [(p[min(k + POSTING_BLOCK, len(p)) - 1][0], max(w for _, w in p[k : k + POSTING_BLOCK])) for k in range(0, len(p), POSTING_BLOCK)]
+                out.append((p, blocks, max(w for _, w in blocks)))
+        return out
 
     def above(self, terms: list[int]) -> list[int]:
         """Places of the items that distinct ``terms`` score at the threshold or above, by block-max WAND."""
-        lists = [[self.postings[t][0][0], 0, t] for t in terms if self.postings[t]]
-        found = []
+        lists = [[x[0][0][0], 0, x] for x in self.query(terms)]  # the place at hand, its position, the list
+        least, end_of_all, found = self.threshold - 1e-9, len(self.items), []
         while lists:
             lists.sort(key=lambda x: x[0])
             bound, pivot = 0.0, -1
-            for k, (_, _, t) in enumerate(lists):
-                bound += self.most[t]
-                if bound >= self.threshold - 1e-9:
+            for k, (_, _, x) in enumerate(lists):
+                bound += x[2]
+                if bound >= least:
                     pivot = k
                     break
             if pivot < 0:
@@ -140,38 +183,31 @@ class Index:
             at = lists[pivot][0]
             while pivot + 1 < len(lists) and lists[pivot + 1][0] == at:
                 pivot += 1
-            bound, end = 0.0, len(self.items)
-            for _, k, t in lists[: pivot + 1]:  # the blocks in which the pivot would stand
+            bound, end = 0.0, end_of_all
+            for _, k, (_, blocks, _) in lists[: pivot + 1]:  # the blocks in which the pivot would stand
                 b = k // POSTING_BLOCK
-                while b < len(self.blocks[t]) and self.blocks[t][b][0] < at:
+                while b < len(blocks) and blocks[b][0] < at:
                     b += 1
-                if b < len(self.blocks[t]):
-                    bound += self.blocks[t][b][1]
-                    end = min(end, self.blocks[t][b][0] + 1)
-            if bound >= self.threshold - 1e-9:
+                if b < len(blocks):
+                    bound += blocks[b][1]
+                    end = min(end, blocks[b][0] + 1)
+            if bound >= least:
                 if lists[0][0] == at:
-                    score = sum(self.postings[t][k][1] for _, k, t in lists[: pivot + 1])
-                    if score >= self.threshold - 1e-9:
+                    if sum(x[0][k][1] for _, k, x in lists[: pivot + 1]) >= least:
                         found.append(at)
                 goal = at + 1 if lists[0][0] == at else at
             else:
-                goal = max(at + 1, min(end, lists[pivot + 1][0] if pivot + 1 < len(lists) else len(self.items)))
+                goal = max(at + 1, min(end, lists[pivot + 1][0] if pivot + 1 < len(lists) else end_of_all))
             for x in lists[: pivot + 1]:
-                posting = self.postings[x[2]]
+                posting = x[2][0]
                 while x[1] < len(posting) and posting[x[1]][0] < goal:
                     x[1] += 1
-                x[0] = posting[x[1]][0] if x[1] < len(posting) else len(self.items)
-            lists = [x for x in lists if x[0] < len(self.items)]
+                x[0] = posting[x[1]][0] if x[1] < len(posting) else end_of_all
+            lists = [x for x in lists if x[0] < end_of_all]
         return found
 
     def verified(self, place: int, passage: list[int]) -> bool:
-        item, there = self.items[place], set(passage)
-        own = shingles(passage, item.width)
-        return (
-            len(item.shingles & own) >= SHARED * len(item.shingles)
-            and 2 * len(item.question & there) >= len(item.question)
-            and 2 * len(item.answer & there) >= len(item.answer)
-        )
+        return self.items[place].stands_in(passage)
 
 
 class Matcher:
@@ -199,7 +235,7 @@ class Matcher:
         import pyarrow.compute as pc
 
         index = self.index
-        if not index.items or not len(texts):
+        if not (index.items or index.short) or not len(texts):
             return {}
         parts = pc.utf8_split_whitespace(texts)
         doc = np.repeat(np.arange(len(texts)), pc.list_value_length(parts).to_numpy(zero_copy_only=False))
@@ -212,6 +248,14 @@ class Matcher:
         if not len(term):
             return {}
         begin = np.searchsorted(doc, np.arange(len(texts)))
+        out: dict[int, set[int]] = {}
+        if index.short:
+            n_of = np.bincount(doc, minlength=len(texts))
+            for d in np.flatnonzero((n_of > 0) & (n_of < SHINGLE)).tolist():
+                if ids := index.short.get(tuple(term[begin[d] : begin[d] + n_of[d]].tolist())):
+                    out[d] = set(ids)
+        if not index.items:
+            return {d: sorted(x) for d, x in out.items()}
         half = (np.arange(len(term)) - begin[doc]) // index.stride
         halves = np.bincount(doc, minlength=len(texts))
         halves = -(-halves // index.stride)
@@ -226,7 +270,6 @@ class Matcher:
         at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(index.first[t], sizes)
         key, inverse = np.unique(np.repeat(passage, sizes) * len(index.items) + index.essential_item[at], return_inverse=True)
         reached = np.bincount(inverse, weights=index.essential_impact[at], minlength=len(key)) >= index.least[key % len(index.items)]
-        out: dict[int, set[int]] = {}
         of = np.repeat(np.arange(len(texts)), halves)
         for p in np.unique(key[reached] // len(index.items)).tolist():
             d = int(of[p])
@@ -251,7 +294,26 @@ def matcher_of(rows: list[tuple[int, str]], threshold: float, others: float, who
     return _kept[key]
 
 
-def _match(rows: list[tuple[int, str]], threshold: float, others: float, whole: Whole | None):
+def _match(rows: list[tuple[int, str]], threshold: float, others: float):
+    """Batches with item_ids for each row."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        matcher = matcher_of(rows, threshold, others)
+        for full in batches:
+            for batch in slices(full, "text"):
+                found = matcher.leaks(pc.fill_null(batch.column("text"), ""))
+                items = pa.array([found.get(i, []) for i in range(batch.num_rows)], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*batch.columns, items], names=[*batch.schema.names, "item_ids"])
+
+    return run
+
+
+def _hits(rows: list[tuple[int, str]], threshold: float, others: float, whole: Whole | None):
+    """(rid, item_id) of what is found."""
+
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         import pyarrow.compute as pc
@@ -260,9 +322,9 @@ def _match(rows: list[tuple[int, str]], threshold: float, others: float, whole:
         for full in batches:
             for batch in slices(full, "text"):
                 found = matcher.leaks(pc.fill_null(batch.column("text"), ""))
-                items = [(x or []) + found.get(i, []) for i, x in enumerate(batch.column("item_ids").to_pylist())] if found else batch.column("item_ids")
-                names = batch.schema.names
-                yield pa.RecordBatch.from_arrays([batch.column(c) if c != "item_ids" else pa.array(items, pa.list_(pa.int64())) if found else items for c in names], names=names)
+                rid = batch.column("rid").to_pylist()
+                pairs = [(rid[i], x) for i, ids in found.items() for x in ids]
+                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["rid", "item_id"])
 
     return run
 
@@ -283,23 +345,30 @@ def _count_terms(batches: Iterator) -> Iterator:
 def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, others: float = 0.3, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """``docs`` (all columns) with item_ids, the sorted ids of the items that a text contains.
 
-    ``benchmark`` has item_id and text. An index of at most about ``index_bytes`` of items is built in
-    each worker; a larger benchmark is dealt by hash of item_id to several indexes, one pass each,
-    all with the weights and passages of the whole benchmark, so that their number changes no result.
+    ``benchmark`` has item_id and text. An index of at most about ``index_bytes`` of items is built in each worker. A
+    larger benchmark is dealt by hash of item_id to several indexes, all with the weights and passages of the whole
+    benchmark, so that their number changes no result. Each is a pass of its own over the texts, which writes what it
+    finds: a worker holds one index at a time, and the driver one part of the items.
     """
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where("item_id is not null and text is not null")
     n_bytes = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
-    passes = max(1, -(-n_bytes // index_bytes))
-    rows = docs.drop("item_ids").withColumns({"text": F.col("text").cast("string"), "item_ids": F.array().cast("array<bigint>")})
+    rows = docs.drop("item_ids").withColumn("text", F.col("text").cast("string"))
+    if n_bytes <= index_bytes:
+        schema = StructType([*rows.schema.fields, StructField("item_ids", ArrayType(LongType()))])
+        return map_batches(rows, _match([tuple(r) for r in items.select("item_id", "text").collect()], threshold, others), schema)
+
+    passes = -(-n_bytes // index_bytes)
     items = items.withColumn("part", F.pmod(F.xxhash64("item_id"), F.lit(passes)))
-    if passes > 1:
-        counted = map_batches(items.select("part", "text"), _count_terms, "part bigint, term string, n_terms bigint")
-        counted = materialize(spark, counted.groupBy("term").agg(F.count("*").alias("n"), F.sum("n_terms").alias("terms"), F.max("n_terms").alias("longest"), F.collect_set("part").alias("parts")), "benchmark-terms")
-        total = counted.where("term is null").first()
-    for k in range(passes):
-        own, whole = items.where(F.col("part") == k).select("item_id", "text"), None
-        if passes > 1 and total:
-            df = counted.where(F.col("term").isNotNull() & F.array_contains("parts", F.lit(k).cast("bigint"))).select("term", "n")
-            whole = Whole(total.n, total.terms, total.longest, tuple(sorted(map(tuple, df.collect()))))
-        rows = map_batches(rows, _match([tuple(r) for r in own.collect()], threshold, others, whole), rows.schema)
-    return rows.withColumn("item_ids", F.array_sort(F.array_distinct("item_ids")))
+    counted = map_batches(items.select("part", "text"), _count_terms, "part bigint, term string, n_terms bigint")
+    counted = materialize(spark, counted.groupBy("term").agg(F.count("*").alias("n"), F.sum("n_terms").alias("terms"), F.max("n_terms").alias("longest"), F.collect_set("part").alias("parts")), "benchmark-terms")
+    total = counted.where("term is null").first()
+    kept = materialize(spark, rows.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("rid")), "decontam-rows")
+    texts, hits = kept.select("rid", F.col("row.text").alias("text")), spark.createDataFrame([], "rid bigint, item_id bigint")
+    for k in range(passes if total else 0):
+        df = counted.where(F.col("term").isNotNull() & F.array_contains("parts", F.lit(k).cast("bigint"))).select("term", "n")
+        whole = Whole(total.n, total.terms, total.longest, tuple(sorted(map(tuple, df.collect()))))
+        own = [tuple(r) for r in items.where(F.col("part") == k).select("item_id", "text").collect()]
+        hits = hits.unionByName(materialize(spark, map_batches(texts, _hits(own, threshold, others, whole), "rid bigint, item_id bigint"), "decontam-hits"))
+    found = materialize(spark, hits.groupBy("rid").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids")), "decontam-found")
+    found_bytes = found.agg(F.coalesce(F.sum(8 * F.size("item_ids") + 32), F.lit(0))).first()[0]
+    return kept.join(broadcast_if(found, found_bytes), "rid", "left").select("row.*", F.coalesce("item_ids", F.array().cast("array<bigint>")).alias("item_ids"))

@@ -93,3 +93,35 @@ def test_whole_table_finds_verbatim_items(spark):
     verbatim = {d: {i for i, x in items if x in t} for d, t in docs}
     assert all(verbatim[d] <= got[d] for d in got)
     assert sum(map(len, got.values())) <= 1.1 * sum(map(len, verbatim.values())) + 2
+
+
+def test_short_items_match_whole_texts_alone(spark):
+    rows = [(1, "Yes."), (2, "Of course, no."), (3, "yes"), (4, "one two three four five.")]
+    docs = [(1, "Yes, this text says yes."), (2, "*Yes!*"), (3, "of course no"), (4, "of course no more"), (5, "x one two three four five y"), (5, None)]
+    bench = spark.createDataFrame(rows, "item_id long, text string")
+    frame = spark.createDataFrame([(*d, 7, 8) for d in docs], "doc_id long, text string, rid int, row int")
+    for n in (1 << 20, 10):
+        got = D.find_leaks(spark, frame, bench, index_bytes=n).collect()
+        assert sorted((r.doc_id, r.text or "", r.item_ids) for r in got) == [(1, docs[0][1], []), (2, docs[1][1], [1, 3]), (3, docs[2][1], [2]), (4, docs[3][1], []), (5, "", []), (5, docs[4][1], [4])]
+        assert all((r.rid, r.row) == (7, 8) for r in got)
+
+
+def test_an_index_takes_a_bounded_share_of_its_items():
+    """2 MB of items, measured in a process of its own."""
+    import subprocess
+    import sys
+
+    code = """
+import random, resource
+from pagewright.llm import decontam as D
+rng = random.Random(1)
+words = [f"w{rng.randrange(10**7)}" for _ in range(40_000)]
+rows = [(i, " ".join(rng.choices(words, k=50)) + ". " + " ".join(rng.choices(words, k=5))) for i in range(5000)]
+size = sum(len(t) for _, t in rows)
+assert size > 1_900_000
+D.Index(rows[:100], 0.6, 0.3)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+index = D.Index(rows, 0.6, 0.3)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) * 1024 / size)
+"""
+    assert float(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout) < 20
