@@ -58,6 +58,14 @@ def broadcast_if(df: DataFrame, n_bytes: int, limit: int = BROADCAST_BYTES) -> D
     return F.broadcast(df) if n_bytes <= limit else df.hint("merge")
 
 
+def free_name(name: str, columns) -> str:
+    """``name``, or what it takes behind it to differ from all ``columns`` (Spark ignores case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(col):
     """A-Z to a-z, and nothing else."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -17,9 +17,9 @@ URL_RULES = (
     url_filter.Rule("block", "net", "/es/"),
     url_filter.Rule("block", "net", "/fr/"),
 )
-LISTED_HOSTS = ("tionsh.example.net", "m.thther.example.org", "blog.ththth.example.org", "therha.example.net", "thther.example.org", "ththth.example.org")
-LISTED_SECTIONS = ("en", "de", "fr")
-LISTED_STEP, LISTED_END = 3, 60_000
+#: The block list: canonical URLs of the pages whose MD5 starts with one of these digits, and generated ones.
+LISTED_DIGITS = "01"
+LISTED_HOSTS, LISTED_SECTIONS, LISTED_STEP, LISTED_END = 6, ("en", "de", "fr"), 3, 60_000
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,20 +106,20 @@ FROM judged LEFT JOIN rates USING (source)
 """
 
 
-def listed_urls(spark: SparkSession) -> DataFrame:
-    """The block list of the query: canonical URLs made by a rule."""
-    each = spark.range(0, LISTED_END, LISTED_STEP)
-    for name, values in (("site", LISTED_HOSTS), ("section", LISTED_SECTIONS)):
-        each = each.select("*", F.explode(F.array(*map(F.lit, values))).alias(name))
-    return each.select(F.concat_ws("/", "site", "section", F.col("id").cast("string")).alias("url_key"))
+def listed_urls(pages: DataFrame) -> DataFrame:
+    """The block list of the query: a share of the pages' canonical URLs, chosen by hash, and URLs made by a rule."""
+    each = pages.sparkSession.range(0, LISTED_END, LISTED_STEP).withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(LISTED_HOSTS - 1))))
+    each = each.withColumn("section", F.explode(F.array(*map(F.lit, LISTED_SECTIONS))))
+    made = each.select(F.format_string("listed%d.example.org/%s/%d", "n", "section", "id").alias("url_key"))
+    own = pages.select(url_filter.canonical(url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url"))).alias("url_key"))
+    return made.unionByName(own.where(F.substring(F.md5("url_key"), 1, 1).isin(*LISTED_DIGITS)))
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return url_filter.filter_urls(pages, listed_urls(spark), URL_RULES).select("page_id", "host", "path", "rule", "listed", "verdict")
+    return url_filter.filter_urls(pages, listed_urls(pages), URL_RULES).select("page_id", "host", "path", "rule", "listed", "verdict")
 
 
-_LISTS = ", ".join(f"'{h}'" for h in LISTED_HOSTS), ", ".join(f"'{s}'" for s in LISTED_SECTIONS)
 OP9_SQL = rf"""
 WITH parts AS (
   SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -134,8 +134,9 @@ WITH parts AS (
          CASE WHEN host <> '' THEN regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)$', '') || regexp_replace(path, '/+$', '') END AS key
   FROM parts
 ), listed AS (
-  SELECT h || '/' || s || '/' || i AS key
-  FROM (SELECT unnest([{_LISTS[0]}]) AS h), (SELECT unnest([{_LISTS[1]}]) AS s), (SELECT unnest(range(0, {LISTED_END}, {LISTED_STEP})) AS i)
+  SELECT 'listed' || h || '.example.org/' || s || '/' || i AS key
+  FROM (SELECT unnest(range(0, {LISTED_HOSTS})) AS h), (SELECT unnest({list(LISTED_SECTIONS)}) AS s), (SELECT unnest(range(0, {LISTED_END}, {LISTED_STEP})) AS i)
+  UNION ALL SELECT key FROM ruled WHERE substr(md5(key), 1, 1) IN ({", ".join(f"'{d}'" for d in LISTED_DIGITS)})
 )
 SELECT page_id, host, path, rule, key IS NOT NULL AND key IN (SELECT key FROM listed) AS listed,
        CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'

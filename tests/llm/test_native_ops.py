@@ -103,3 +103,61 @@ def test_url_filter(spark, limit):
     none = url_filter.filter_urls(frame, keys.where("false"), RULES, broadcast_bytes=limit).collect()
     assert len(none) == len(rows) and not any(r.listed for r in none)
     assert url_filter.filter_urls(frame.where("false"), keys, RULES, broadcast_bytes=limit).collect() == []
+
+
+@pytest.mark.parametrize("limit", [8 << 20, 0])
+def test_many_rules_are_a_table_with_the_same_verdicts(spark, limit):
+    rng = random.Random(8)
+    hosts = ["com", "a.com", "b.a.com", "org", "x.org", "y.x.org", "com.org", "", "net."]
+    rules = [url_filter.Rule(rng.choice(("allow", "block")), rng.choice(hosts), "/" + "".join(rng.choice("ab/") for _ in range(rng.randint(0, 3)))) for _ in range(60)]
+    rules = list({r.text: r for r in rules}.values())
+    urls = [f"http://{rng.choice(('', 'q.', 'a.', 'Y.'))}{rng.choice(hosts)}/{''.join(rng.choice('ab/') for _ in range(rng.randint(0, 4)))}" for _ in range(300)] + [None, "none", "http://com"]
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(3)
+    keys = spark.createDataFrame([("q.com/a",), ("org/b",)], "url_key string")
+    one, other = (sorted(map(tuple, url_filter.filter_urls(frame, keys, rules, broadcast_bytes=limit, inline_rules=k).collect())) for k in (100, 0))
+    assert one == other and {"allow", "block"} == {r[-1] for r in one} and sum(r[4] is not None for r in one) > 100
+
+
+@pytest.mark.parametrize("limit", [8 << 20, 0])
+def test_names_that_the_filter_uses_inside_pass_through(spark, limit):
+    rows = [(k, f"http://site{k}.org/p" if k % 3 else None, k, k, k, k, k) for k in range(40)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, w0 int, __key int, __W0 int, __block int, __may int")
+    keys = spark.createDataFrame([(f"site{k}.org/p",) for k in range(0, 40, 2)], "url_key string")
+    got = url_filter.filter_urls(frame, keys, RULES, broadcast_bytes=limit, inline_rules=0).collect()
+    assert sorted(tuple(r)[:7] for r in got) == sorted(rows)
+    assert {r.page_id for r in got if r.listed} == {k for k in range(0, 40, 2) if k % 3}
+
+
+def test_filter_and_list_decide_at_every_size(spark):
+    """Hits at each scale, none without the list, and the same ones by a filter of far too few bits, whose false positives the join removes."""
+    from pagewright.llm.queries import URL_RULES, listed_urls
+
+    for sf, least in (("0.001", 1), ("0.01", 10), ("0.1", 100)):
+        pages = spark.read.parquet(f"/root/testdata/sf{sf}/pages.parquet").select("page_id", "url")
+        rows = {r.page_id: r for r in url_filter.filter_urls(pages, listed_urls(pages), URL_RULES).collect()}
+        hits = {k for k, r in rows.items() if r.listed}
+        assert least <= len(hits) < len(rows) / 4
+        assert all(rows[k].verdict == "block" for k in hits if rows[k].rule is None)
+        few = {r.page_id for r in url_filter.filter_urls(pages, listed_urls(pages), URL_RULES, bits_per_url=1).collect() if r.listed}
+        assert few == hits
+        assert any(rows[k].rule is None for k in hits) or sf == "0.001"
+
+
+def test_a_url_without_its_bits_never_meets_the_list(spark, monkeypatch):
+    """With a filter that no URL passes nothing is listed: every hit comes through the filter."""
+    from pyspark.sql import functions as F
+
+    frame, keys = spark.createDataFrame([(1, "http://a.org/b")], "page_id long, url string"), spark.createDataFrame([("a.org/b",)], "url_key string")
+    for limit in (8 << 20, 0):
+        assert url_filter.filter_urls(frame, keys, broadcast_bytes=limit).first().listed
+        with monkeypatch.context() as m:
+            built = url_filter.bloom_blocks
+            m.setattr(url_filter, "bloom_blocks", lambda listed, n: built(listed, n).withColumns({f"w{j}": F.lit(0).cast("long") for j in range(4)}))
+            assert not url_filter.filter_urls(frame, keys, broadcast_bytes=limit).first().listed
+
+
+def test_the_exact_join_is_a_hash_join(spark):
+    frame, keys = spark.createDataFrame([(1, "http://a.org/b")], "page_id long, url string"), spark.createDataFrame([("a.org/b",)], "url_key string")
+    for limit, join in ((8 << 20, "BroadcastHashJoin"), (0, "ShuffledHashJoin")):
+        plan = url_filter.filter_urls(frame, keys, broadcast_bytes=limit)._jdf.queryExecution().executedPlan().toString()
+        assert join in plan
