@@ -31,6 +31,8 @@ SLICE_BYTES = 1 << 20
 TABLE_LETTERS = 160
 #: Different trigrams that are bound at once, and prototypes that a batch is compared with at once: a vector each.
 GRAMS, PROTOTYPES = 4096, 2048
+#: Texts whose counts are one matrix.
+TEXTS = 512
 #: Languages whose sums a task holds before it hands them on.
 HELD = 512
 
@@ -110,13 +112,26 @@ class Profiler:
         for lo in range(0, len(grams), GRAMS):
             own = grams[lo : lo + GRAMS]
             bound = self.trigrams(letters[own // (k * k)], letters[own // k % k], letters[own % k]).astype(np.float32)
-            for i, there, count in counted:
-                x, y = np.searchsorted(there, (lo, lo + GRAMS)) if len(grams) > GRAMS else (0, len(there))
-                if y > x:
-                    out[i] += count[x:y] @ bound[there[x:y] - lo]
+            here = [(i, there[x:y] - lo, count[x:y]) for i, there, count in counted for x, y in [np.searchsorted(there, (lo, lo + GRAMS)) if len(grams) > GRAMS else (0, len(there))] if y > x]
+            for d in range(0, len(here), TEXTS):
+                self._add(out, here[d : d + TEXTS], bound)
         out /= np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
         return out, some
 
+    @staticmethod
+    def _add(out, here: list, bound) -> None:
+        """Add to ``out`` what each text has of the ``bound`` trigrams: as one product of matrices, or row by row if few are there."""
+        import numpy as np
+
+        if 16 * sum(len(there) for _, there, _ in here) > len(here) * len(bound):
+            counts = np.zeros((len(here), len(bound)), dtype=np.float32)
+            for row, (_, there, count) in zip(counts, here, strict=True):
+                row[there] = count
+            out[[i for i, _, _ in here]] += counts @ bound
+        else:
+            for i, there, count in here:
+                out[i] += count @ bound[there]
+
     @staticmethod
     def _places(points):
         import numpy as np
