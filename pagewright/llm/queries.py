@@ -92,9 +92,11 @@ WITH docs AS (
 ), hosts AS (
   SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS f FROM judged WHERE source IS NOT NULL GROUP BY source
 ), moments AS (
-  SELECT avg(f / n) AS m, var_pop(f / n) AS v FROM hosts
+  SELECT avg(f / n) AS m, var_pop(f / n) AS v, avg(1 / n) AS a FROM hosts
+), spread AS (
+  SELECT m, CASE WHEN a < 1 THEN (v - m * (1 - m) * a) / (1 - a) ELSE 0 END AS w FROM moments
 ), prior AS (
-  SELECT m, CASE WHEN v IS NULL OR v <= 0 THEN 1000.0 ELSE least(1000.0, greatest(2.0, m * (1 - m) / v - 1)) END AS s FROM moments
+  SELECT m, CASE WHEN w IS NULL OR w <= 0 THEN 1000.0 ELSE least(1000.0, greatest(2.0, m * (1 - m) / w - 1)) END AS s FROM spread
 ), rates AS (
   SELECT source, CASE WHEN m > 0 AND m < 1 THEN (f + m * s) / (n + s)
                       ELSE (f + greatest(m, 0.001) * 2) / (n + greatest(m, 0.001) * 2 + greatest(1 - m, 0.001) * 2) END AS rate

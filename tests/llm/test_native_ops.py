@@ -161,3 +161,40 @@ def test_the_exact_join_is_a_hash_join(spark):
     for limit, join in ((8 << 20, "BroadcastHashJoin"), (0, "ShuffledHashJoin")):
         plan = url_filter.filter_urls(frame, keys, broadcast_bytes=limit)._jdf.queryExecution().executedPlan().toString()
         assert join in plan
+
+
+def test_prior_is_free_of_the_chance_of_small_hosts():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    for spread in (0.0, 0.08):
+        p = np.clip(0.2 + spread * rng.standard_normal(20_000), 0, 1)
+        n = rng.integers(3, 30, len(p))
+        f = rng.binomial(n, p) / n
+        a, b = host_rules.beta_prior(f.mean(), f.var(), (1 / n).mean())
+        assert abs(a / (a + b) - 0.2) < 0.01
+        assert a + b > 300 if not spread else abs((a + b) - (0.16 / 0.08**2 - 1)) < 6
+    assert host_rules.beta_prior(0.5, 0.25, 1.0) == (500.0, 500.0) and host_rules.beta_prior(None, None, None) == (1.0, 1.0)
+
+
+def test_the_prior_and_the_host_join_decide(spark):
+    """A small host of many failures stays below the limit by the prior alone; a large one goes by the join alone."""
+    good, rows = " ".join(f"w{i}" for i in range(30)), []
+    for h in range(30):
+        rows += [(len(rows) + k, good if k % 10 else "short", f"h{h}") for k in range(50)]
+    rows += [(5000, "short", "small"), (5001, "short", "small"), (5002, good, "small")]
+    rows += [(6000 + k, good if k % 4 == 0 else "short", "large") for k in range(5000)]
+    out = {r.doc_id: r for r in host_rules.apply_host_rules(spark, spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert out[5002].kept and not out[5002].base_failed and out[5002].host_rate < 0.5 < 2 / 3
+    differ = {r.source for r in out.values() if r.kept == r.base_failed}
+    assert differ == {"large"} and not any(r.kept for r in out.values() if r.source == "large")
+
+
+def test_host_rules_names_long_texts_and_equal_hosts(spark):
+    schema = "doc_id long, text string, source string, __h int, __w int, __host int, __words int, n int, failed int"
+    long = " ".join(f"w{i % 50_000}" for i in range(150_000))
+    rows = [(1, long, "a", 1, 2, 3, 4, 5, 6), (1, long, "a", 1, 2, 3, 4, 5, 6), (2, "x", "b", 1, 2, 3, 4, 5, 6), (3, " ".join(f"v{i}" for i in range(25)), "b", 1, 2, 3, 4, 5, 6)]
+    got = host_rules.apply_host_rules(spark, spark.createDataFrame(rows, schema)).collect()
+    assert all((r["__h"], r["__w"], r["__host"], r["__words"], r.n, r.failed) == (1, 2, 3, 4, 5, 6) for r in got)
+    assert sorted((r.doc_id, r.n_words, r.n_repeat_words, r.base_failed) for r in got) == [(1, 150_000, 150_000, True)] * 2 + [(2, 1, 0, True), (3, 25, 0, False)]
+    assert {r.source: r.host_rate for r in got}["b"] <= 0.75
