@@ -3,7 +3,8 @@ import random
 
 import pytest
 
-from pagewright.llm.html_extract import edges_of, blocks, extract_main_text, main_text, minimum_cut
+from pagewright.llm import html_extract as H
+from pagewright.llm.html_extract import Page, edges_of, extract_main_text, main_text, minimum_cut
 from pagewright.llm.queries import op2_html_extract
 
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body class="has-sidebar"><header><a href=/>Site</a> Tagline here</header><nav><ul><li><a href=x>Home</a><li><a>About us</a></ul></nav>
@@ -42,8 +43,7 @@ def test_cut_is_minimal():
 
 
 def test_edges_are_weaker_over_more_steps():
-    found = blocks("<div><p>a</p><p>b</p></div><footer><div>c</div></footer>")
-    w = {(i, j): x for i, j, x in edges_of(found)}
+    w = {(i, j): x for i, j, x in edges_of(Page("<div><p>a</p><p>b</p></div><footer><div>c</div></footer>"))}
     assert w[0, 1] > w[1, 2] > 0
 
 
@@ -67,3 +67,79 @@ def test_nulls_and_clashes(spark):
     got = {r.page_id: r for r in extract_main_text(spark.createDataFrame(rows, schema)).collect()}
     assert (got[1].text, got[1].n_chars) == ("", 0) and got[None].text.startswith("A sentence") and got[2].n_chars == 999_999
     assert extract_main_text(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_the_cut_decides(spark, monkeypatch):
+    """On every page some label differs from the sign of the block's own score, and without edges the text is another."""
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    whole = [main_text(h) for h in pages]
+    changed = 0
+    for h in pages:
+        page = Page(h)
+        differ = sum((s > 0) != x for s, x in zip(H.scores_of(page), H.labels_of(page), strict=False))
+        assert differ
+        changed += differ
+    assert changed > len(pages)
+    monkeypatch.setattr(H, "edges_of", lambda page: [])
+    assert not any(main_text(h) == t for h, t in zip(pages, whole, strict=True))
+    assert "thank you very much" in main_text(PAGE) and "Item one" not in main_text(PAGE)
+
+
+def test_pages_equal_brute_force(spark):
+    """Every labelling of the nodes of a page, blocks and regions, is tried."""
+    import numpy as np
+
+    tried = 0
+    rng = random.Random(6)
+    inner = ["Menu", "<a href=x>Home page</a>", "A sentence of some words, which ends here.", "Yes.", "Short heading", "<a>One</a> and more words than one, really."]
+    made = []
+    for _ in range(150):
+        tags = [rng.choice(("p", "div", "section", "article", "aside", "nav", "div class=ad", "div class=comments", "li", "span id=footer")) for _ in range(rng.randint(2, 6))]
+        made.append("".join(f"<{t}>{rng.choice(inner)}" + (f"</{t.split()[0]}>" if rng.random() < 0.6 else "") for t in tags))
+    for html in [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()] + made:
+        page = Page(html)
+        scores, edges = H.scores_of(page), edges_of(page)
+        n = len(scores)
+        if not 0 < n <= 18:
+            continue
+        tried += 1
+        x = (np.arange(1 << n)[:, None] >> np.arange(n)) & 1
+        cost = -(x * np.array(scores)).sum(axis=1)
+        for i, j, w in edges:
+            cost += w * (x[:, i] != x[:, j])
+        ties = np.flatnonzero(cost < cost.min() + 1e-7)
+        best = x[ties[x[ties].sum(axis=1).argmin()]].astype(bool)
+        assert H.labels_of(page) == best[: len(page.blocks)].tolist(), html
+        assert main_text(html) == " ".join(b.text for b, keep in zip(page.blocks, best, strict=False) if keep)
+    assert tried > 150
+
+
+def test_deep_and_hostile_pages_take_time_and_memory_in_proportion():
+    import subprocess
+    import sys
+
+    code = """
+import resource, time
+from pagewright.llm.html_extract import main_text
+main_text("<p>warm</p>")
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for html in ("<div>a" * 50_000, "<div class=ad><p>One two three four five six. " * 20_000, "<td><table>" + "<blockquote>" * 30_000 + "<td></td>" * 30_000,
+             "<p>x" + "<blockquote>" * 30_000 + "</p>" * 30_000, "<article><p>One two." + "<span class=ad>" * 20_000 + "</b></i>" * 20_000, "<a href='" * 50_000, "<!--" * 50_000, "&amp;" * 50_000 + "<" * 50_000):
+    start = time.process_time()
+    main_text(html)
+    assert time.process_time() - start < 10, html[:60]
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    assert int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout) < 400
+
+
+def test_references_and_tags_inside_a_run():
+    assert main_text("<article><p>One &<b>amp;</b> two &amp;lt; three &#233;.</p></article>") == "One &amp; two &lt; three é."
+    assert main_text("<article><p>Now if a <b and c> d.</p></article>") == "Now if a d."
+    assert main_text('<article><p>Kept <span class="ad">gone <span>gone too</span> gone as well</span> kept.</p></article>') == "Kept kept."
+
+
+def test_repeated_rows_and_ties(spark):
+    rows = [(1, "u", "<article><p>Same text.</p></article>")] * 3 + [(2, "u", "<article><p>Same text.</p></article>")]
+    got = extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)).collect()
+    assert sorted((r.page_id, r.text) for r in got) == [(1, "Same text.")] * 3 + [(2, "Same text.")]
