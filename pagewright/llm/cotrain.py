@@ -1,19 +1,23 @@
 """Quality classifier by co-training.
 
 Two logistic regressions see different views of a document. The text view has hashed words, hashed word
-shapes and a few ratios, all from the whole text; the metadata view has source, language and size. Each
-round, either classifier labels the pooled documents it is most sure of, in the classes' proportions, and
-these join the other one's training rows. Last, both are calibrated on labelled rows kept out of
-training, and their calibrated log-odds are added, less the prior that both contain: a view that tells
-nothing then adds nothing.
+shapes and a few ratios, all from the whole text; the metadata view has what a crawler's record tells without
+words: source, language, size, lines, and the shares of characters by kind. Each round, both are calibrated on
+labelled rows kept out of training, and every document outside the labelled sample is scored by executors. Of
+each class, each view takes those it is surest of: a share of all rows by rank, with calibrated probability
+``sure`` at least. Histograms of all scores give the cut-off; what lies above it is the other view's
+pseudo-labels, of which a bounded sample by hash joins its training rows. Both views are then fitted anew, and
+the next round's share is larger. Last, the calibrated log-odds are added, less the prior that both contain: a
+view that tells nothing then adds nothing.
 
-The labelled rows are a bounded sample, by hash of id (``Limits``). All other documents are the pool, those with a label
-outside the sample among them: executors score it in each round, and only the surest rows are gathered.
+Only what a fit reads is bounded (``Limits``): labelled rows, and pseudo-labelled rows of a view and round.
 
 Defined results: a null or empty text has no words and is scored by its other features. Null metadata
-are values of their own. Labels that are null, or whose id no document has, teach nothing; with labels
-of a single class, or none, every score is the share of that class, or 0.5. Repeated rows and null ids
-are scored row by row. An empty table gives an empty result. Columns beyond those named are ignored.
+are values of their own. Labels that are null, or whose id no document has, teach nothing; of repeated labels
+of an id the largest counts, of repeated rows of a labelled id the first. With labels of a single class, or
+none, every score is the share of that class, or 0.5. Rows whose scores tie at a cut-off stand or fall
+together. Repeated rows and null ids are scored row by row. An empty table gives an empty result. Columns beyond
+those named are ignored.
 """
 
 from __future__ import annotations
@@ -21,26 +25,37 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import map_batches, materialize, slices
+from pagewright.llm.common import broadcast_if, map_batches, materialize, slices
 
-WORDS, SHAPES, RATIOS, META = 1 << 13, 1 << 9, 6, 1 << 8
+WORDS, SHAPES, RATIOS = 1 << 13, 1 << 9, 6
+SOURCES, LANGS, SIZES, BINS, LAYOUT = 512, 64, 32, 16, 7
+#: Columns of the metadata view, and those that a row has: source, language, size, then the layout.
+META, META_COLUMNS = SOURCES + LANGS + SIZES + BINS * LAYOUT, 3 + LAYOUT
 CACHE_WORDS = 250_000
+#: Log-odds are counted in steps of 1/64 below 32.
+STEPS, MOST = 64, 32
+SCALE = 1 << 30
 
 
 @dataclass(frozen=True)
 class Limits:
-    """Bounds of what is gathered to fit the classifiers; ``pool`` bounds what is scored in each round, None for every row."""
+    """``labelled`` and ``fit_rows`` bound what is gathered for a fit, up to chance: rows are dealt by hash.
+
+    In round k, a view takes of each class the surest ``k * share`` of the rows that would have it. A pseudo-label
+    counts for ``weight`` of a label.
+    """
 
     labelled: int = 3000
-    pool: int | None = None
-    rounds: int = 3
-    per_round: int = 300
-    sure: float = 0.95
+    fit_rows: int = 3000
+    rounds: int = 2
+    share: float = 0.1
+    sure: float = 0.9
+    weight: float = 0.25
     held_back: float = 0.25
 
 
@@ -57,8 +72,8 @@ KINDS, RUN = _Kinds(), re.compile(r"(.)\1+", re.S)
 
 
 def shape(word: str) -> str:
-    """Letters as x or X, digits as 9, runs as one, six characters at most."""
-    return RUN.sub(r"\1", word.translate(KINDS))[:6]
+    """Letters as x or X, digits as 9, runs as one."""
+    return RUN.sub(r"\1", word.translate(KINDS))
 
 
 class TextView:
@@ -125,8 +140,47 @@ def text_view() -> TextView:
     return _view[0]
 
 
-def meta_columns(source, lang, n_bytes) -> list[int]:
-    return [zlib.crc32(x.encode("utf-8", "replace")) % META for x in (f"s={source}", f"l={lang}", f"n={int(n_bytes or 0).bit_length()}")]
+def _kinds_of_bytes():
+    """For each byte: 1 line feed, 2 capital, 3 digit, 4 other ASCII mark, 5 blank, 6 part of a character beyond ASCII, else 0."""
+    import numpy as np
+
+    kinds = np.zeros(256, dtype=np.int64)
+    for c in range(128):
+        x = chr(c)
+        kinds[c] = 1 if x == "\n" else 2 if x.isupper() else 3 if x.isdigit() else 5 if x.isspace() else 0 if x.isalpha() else 4
+    kinds[128:] = 6
+    return kinds
+
+
+def layout(texts):
+    """Of each text in an Arrow string array without nulls: its bytes, and its bytes of the seven kinds."""
+    import numpy as np
+
+    n = len(texts)
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + n + 1] if n else np.zeros(1, dtype=np.int32)
+    data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]
+    sizes = np.diff(offsets)
+    of = np.repeat(np.arange(n, dtype=np.int64) * 8, sizes)
+    return sizes, np.bincount(of + _kinds_of_bytes()[data], minlength=8 * n).reshape(n, 8)[:, :7]
+
+
+def meta_columns(source, lang, texts):
+    """The columns of the metadata view that are 1, for each row; all arguments are Arrow arrays."""
+    import numpy as np
+
+    def hashed(values, name: str, width: int):
+        coded = values.dictionary_encode()
+        codes = np.array([zlib.crc32(f"{name}={x}".encode("utf-8", "replace")) % width for x in [*coded.dictionary.to_pylist(), None]], dtype=np.int64)
+        return codes[coded.indices.fill_null(len(codes) - 1).to_numpy(zero_copy_only=False)]
+
+    bits = lambda x: np.frexp(x.astype(float))[1]  # noqa: E731  the number of binary digits
+    size, kinds = layout(texts)
+    lines = kinds[:, 1] + 1
+    shares = [np.floor((BINS - 0.001) * np.sqrt(kinds[:, k] / np.maximum(1, size))) for k in (2, 3, 4, 5, 6)]
+    own = [hashed(source, "source", SOURCES), SOURCES + hashed(lang, "lang", LANGS), SOURCES + LANGS + np.minimum(SIZES - 1, bits(size))]
+    for k, x in enumerate([np.minimum(BINS - 1, bits(lines)), np.minimum(BINS - 1, bits(size // lines)), *shares]):
+        own.append(SOURCES + LANGS + SIZES + BINS * k + x)
+    return np.stack(own, axis=1).astype(np.int32)
 
 
 class Logistic:
@@ -143,13 +197,16 @@ class Logistic:
         row, column, value, n = x
         return np.bincount(row, weights=value * self.w[column], minlength=n) + self.b
 
-    def fit(self, x, y, steps: int = 80, rate: float = 0.3) -> None:
+    def fit(self, x, y, weight=None, steps: int = 80, rate: float = 0.3) -> None:
+        """``weight`` of each row; 1 by default."""
         import numpy as np
 
         row, column, value, n = x
+        weight = np.ones(n) if weight is None else weight
+        weight = weight / max(1e-9, weight.sum())
         m, v, self.w, self.b = np.zeros(len(self.w) + 1), np.zeros(len(self.w) + 1), self.w * 0, 0.0
         for k in range(1, steps + 1):
-            error = (1 / (1 + np.exp(-np.clip(self.raw(x), -30, 30))) - y) / max(1, n)
+            error = (1 / (1 + np.exp(-np.clip(self.raw(x), -30, 30))) - y) * weight
             g = np.append(np.bincount(column, weights=value * error[row], minlength=len(self.w)) + self.decay * self.w, error.sum())
             m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
             step = rate * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-8)
@@ -182,11 +239,26 @@ def _stack(rows: list, width: int):
     return row, column, value, len(rows)
 
 
-FEATURES = "doc_id bigint, y int, meta array<int>, size int, columns array<int>, counts array<int>, ratios array<float>"
+def text_rows(rows: list):
+    """The text view of gathered rows of ``FEATURES``."""
+    import numpy as np
+
+    dense = TextView.width + np.arange(RATIOS)
+    return _stack([(np.append(r.columns, dense), np.append(np.asarray(r.counts, dtype=float) / max(1, r.size), r.ratios)) for r in rows], TextView.width + RATIOS)
+
+
+def meta_rows(rows: list):
+    """The metadata view of gathered rows of ``FEATURES``."""
+    import numpy as np
+
+    return _stack([(r.meta, np.ones(META_COLUMNS)) for r in rows], META)
+
+
+FEATURES = "doc_id bigint, meta array<int>, size int, columns array<int>, counts array<int>, ratios array<float>"
 
 
 def _features(batches: Iterator) -> Iterator:
-    """Features of both views: buckets of metadata; distinct buckets of words and shapes with their counts, number of words, ratios."""
+    """Features of both views: columns of the metadata; distinct buckets of words and shapes with their counts, number of words, ratios."""
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
@@ -195,153 +267,225 @@ def _features(batches: Iterator) -> Iterator:
     lists = lambda sizes, values, kind: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values, kind))
     for whole in batches:
         for batch in slices(whole, "text"):
-            row, word, shaped, count, ratios = view.words(pc.fill_null(batch.column("text"), ""))
-            key, n = np.unique(np.concatenate([row, row]) * view.width + np.concatenate([word, shaped]), return_counts=True)
-            sizes = np.bincount(key // view.width, minlength=batch.num_rows)
-            meta = [meta_columns(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("source", "lang", "n_bytes")), strict=True)]
+            if not (n := batch.num_rows):
+                continue
+            texts = pc.fill_null(batch.column("text"), "")
+            row, word, shaped, count, ratios = view.words(texts)
+            meta = meta_columns(batch.column("source"), batch.column("lang"), texts)
+            key, found = np.unique(np.concatenate([row, row]) * view.width + np.concatenate([word, shaped]), return_counts=True)
+            sizes = np.bincount(key // view.width, minlength=n)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("y"), pa.array(meta, pa.list_(pa.int32())), pa.array(count, pa.int32()), lists(sizes, key % view.width, pa.int32()), lists(sizes, n, pa.int32()), lists(np.full(batch.num_rows, RATIOS), ratios.ravel(), pa.float32())],
-                names=["doc_id", "y", "meta", "size", "columns", "counts", "ratios"],
+                [
+                    batch.column("doc_id"), lists(np.full(n, META_COLUMNS), meta.ravel(), pa.int32()), pa.array(count, pa.int32()),
+                    lists(sizes, key % view.width, pa.int32()), lists(sizes, found, pa.int32()), lists(np.full(n, RATIOS), ratios.ravel(), pa.float32()),
+                ],
+                names=["doc_id", "meta", "size", "columns", "counts", "ratios"],
             )
 
 
-def _surest(models: dict, given: dict, most: dict, least: float):
-    """The rows of the pool that each view is surest of, ``most[label]`` of a label and task at most, less those the other view was given."""
-    text, meta, used = (models["text"].w, models["text"].b), (models["meta"].w, models["meta"].b), {k: list(v) for k, v in given.items()}
+@dataclass
+class Model:
+    """Weights and offsets of both views, their calibration (slope and offset of the log-odds), and the log-odds of the prior.
+
+    ``history`` tells of each fit the round, the view, the pseudo-labels that it was given by class (all of them, and
+    those in its sample) and its accuracy on the labelled rows kept out.
+    """
+
+    text_w: object
+    text_b: float
+    meta_w: object
+    meta_b: float
+    text_scale: tuple[float, float]
+    meta_scale: tuple[float, float]
+    prior: float
+    history: list = field(default_factory=list)
+
+    def log_odds(self, batch) -> dict:
+        """Calibrated log-odds of each view for a batch of ``FEATURES``."""
+        import numpy as np
+
+        n = batch.num_rows
+        flat = lambda c: batch.column(c).flatten().to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(n), batch.column("columns").value_lengths().to_numpy(zero_copy_only=False))
+        both = np.bincount(row, weights=flat("counts") * self.text_w[flat("columns")], minlength=n)
+        size = np.maximum(1, batch.column("size").to_numpy(zero_copy_only=False))
+        text = both / size + flat("ratios").reshape(-1, RATIOS) @ self.text_w[TextView.width :] + self.text_b
+        meta = self.meta_w[flat("meta").reshape(-1, META_COLUMNS)].sum(axis=1) + self.meta_b
+        return {"text": self.text_scale[0] * text + self.text_scale[1], "meta": self.meta_scale[0] * meta + self.meta_scale[1]}
+
+
+def steps_of(log_odds, label: int, least: float):
+    """How sure of ``label`` these log-odds are, in steps; -1 below the probability ``least``."""
+    import math
+
+    import numpy as np
+
+    own = log_odds if label else -log_odds
+    return np.where(own >= math.log(least / (1 - least)), np.floor(np.clip(own, 0, MOST - 0.001) * STEPS), -1).astype(np.int64)
+
+
+def _histogram(model: Model, least: float):
+    """(view, label, step, n): rows of a task by how sure each view is of each label."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        counts = {(view, label): np.zeros(STEPS * MOST, dtype=np.int64) for view in ("text", "meta") for label in (0, 1)}
+        for batch in batches:
+            if batch.num_rows:
+                for view, odds in model.log_odds(batch).items():
+                    for label in (0, 1):
+                        steps = steps_of(odds, label, least)
+                        counts[view, label] += np.bincount(steps[steps >= 0], minlength=STEPS * MOST)
+        rows = [(view, label, int(k), int(c[k])) for (view, label), c in counts.items() for k in np.flatnonzero(c)]
+        columns = zip(*rows, strict=True) if rows else ((), (), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.int32(), pa.int64()), strict=True)], names=["view", "label", "step", "n"])
+
+    return run
+
+
+def cut_off(counts: dict[int, int], target: float) -> tuple[int, int]:
+    """(step, rows at it or above): as many of the surest steps as hold ``target`` rows at most, but the surest one in any case."""
+    at, total = -1, 0
+    for step in sorted(counts, reverse=True):
+        if at >= 0 and total + counts[step] > target:
+            break
+        at, total = step, total + counts[step]
+    return at, total
+
+
+def _above(model: Model, least: float, cuts: dict):
+    """Rows that a view is sure enough of and that the sample takes, with the view and the label; ``cuts`` has (step, bound of the hash)."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        none = np.zeros(0, dtype=np.int64)
-        best = {(name, label): (np.zeros(0), none, none) for name in used for label in most}
-        flat = lambda batch, c: batch.column(c).flatten().to_numpy(zero_copy_only=False)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rid, doc_id, size = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("rid", "doc_id", "size"))
-            row = np.repeat(np.arange(batch.num_rows), batch.column("columns").value_lengths().to_numpy(zero_copy_only=False))
-            both = np.bincount(row, weights=flat(batch, "counts") * text[0][flat(batch, "columns")], minlength=batch.num_rows)
-            raw = {
-                "text": both / np.maximum(1, size) + flat(batch, "ratios").reshape(-1, RATIOS) @ text[0][TextView.width :] + text[1],
-                "meta": meta[0][flat(batch, "meta").reshape(-1, 3)].sum(axis=1) + meta[1],
-            }
-            for name, other in (("text", "meta"), ("meta", "text")):
-                p, free = 1 / (1 + np.exp(-np.clip(raw[name], -30, 30))), ~np.isin(rid, used[other])
-                for label, n in most.items():
-                    sure = p if label else 1 - p
-                    own = free & (sure >= least)
-                    s, d, r = (np.concatenate([x, y[own]]) for x, y in zip(best[name, label], (sure, doc_id, rid), strict=True))
-                    order = np.lexsort((r, d, -s))[:n]
-                    best[name, label] = s[order], d[order], r[order]
-        for (name, label), (s, d, r) in best.items():
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(s), pa.string()), pa.array([label] * len(s), pa.int32()), pa.array(s, pa.float64()), pa.array(d, pa.int64()), pa.array(r, pa.int64())], names=["view", "label", "sure", "doc_id", "rid"])
+            rank = batch.column("rank").to_numpy(zero_copy_only=False)
+            for view, odds in model.log_odds(batch).items():
+                for label in (0, 1):
+                    step, bound = cuts.get((view, label), (-1, 0))
+                    chosen = np.flatnonzero((steps_of(odds, label, least) >= step) & (rank < bound)) if step >= 0 else ()
+                    if len(chosen):
+                        own = batch.take(pa.array(chosen))
+                        yield pa.RecordBatch.from_arrays([pa.array([view] * len(chosen)), pa.array([label] * len(chosen), pa.int32()), *own.columns], names=["view", "label", *own.schema.names])
 
     return run
 
 
-@dataclass
-class Model:
-    text_w: object
-    text_b: float
-    meta_w: object
-    meta_b: float
-    text_scale: tuple[float, float]
-    meta_scale: tuple[float, float]
-    prior: float
+def _rows(docs: DataFrame) -> DataFrame:
+    named = {"doc_id": "bigint", "source": "string", "lang": "string", "text": "string"}
+    return docs.select(*(F.col(c).cast(t).alias(c) for c, t in named.items()))
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"),
-        F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), F.col("text").cast("string").alias("text"),
-    )
+def features_of(docs: DataFrame) -> DataFrame:
+    """Both views of each row, as numbers (``FEATURES``) with rid, written once: rounds and scores read them instead of texts."""
+    rows = map_batches(_rows(docs), _features, FEATURES).withColumn("rid", F.monotonically_increasing_id())
+    return materialize(docs.sparkSession, rows, "cotrain-features")
 
 
-def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", limits: Limits = Limits()) -> Model:
-    """Co-train on a labelled sample of ``docs`` and on all others; ``labels`` has doc_id and ``target`` (0 or 1)."""
+def _sampled_labels(labels: DataFrame, target: str, limits: Limits) -> DataFrame:
+    known = labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull())
+    known = known.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg((F.max(F.col(target).cast("int")) > 0).cast("int").alias("y"))
+    share = min(SCALE, SCALE * limits.labelled // max(1, known.count()))
+    return known.where(F.pmod(F.xxhash64("doc_id", F.lit("cotrain")), F.lit(SCALE)) < share)
+
+
+def fit_features(features: DataFrame, labels: DataFrame, target: str = "quality", limits: Limits = Limits()) -> Model:
+    """Co-train on a labelled sample and on all other rows; ``labels`` has doc_id and ``target`` (0 or 1)."""
     import numpy as np
 
-    spark, scale = docs.sparkSession, 1 << 30
-    rank = F.pmod(F.xxhash64("doc_id", F.lit("cotrain")), F.lit(scale))
-    known = labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(F.col(target).cast("int")).alias("y"))
-    # A sample stands within its bound up to chance: ids are dealt by hash.
-    share = min(scale, scale * limits.labelled // max(1, known.count()))
-    rows = _rows(docs).where(F.col("doc_id").isNotNull()).join(F.broadcast(known.where(rank < share)), "doc_id", "left")
-    if limits.pool is not None:
-        rows = rows.where(F.col("y").isNotNull() | (rank < min(scale, scale * limits.pool // max(1, docs.count()))))
-    rows = map_batches(rows.select("doc_id", "source", "lang", "n_bytes", "y", "text"), _features, FEATURES)
-    rows = materialize(spark, rows.withColumn("rid", F.monotonically_increasing_id()), "cotrain-features")
-    labelled, pool = sorted(rows.where("y is not null").collect(), key=lambda r: (r.doc_id, r.rid)), rows.where("y is null")
+    spark = features.sparkSession
+    sample = materialize(spark, _sampled_labels(labels, target, limits), "cotrain-labels")
+    sample = broadcast_if(sample, 32 * sample.count())
+    own = features.join(sample, "doc_id").groupBy("doc_id", "y").agg(F.min(F.struct("rid", "meta", "size", "columns", "counts", "ratios")).alias("row")).select("doc_id", "y", "row.*")
+    labelled = sorted(own.collect(), key=lambda r: r.doc_id)
+    y = np.array([float(r.y) for r in labelled])
     width = TextView.width + RATIOS
-    y = np.array([float(r.y > 0) for r in labelled])
     if not len(y) or y.min() == y.max():
         odds = 0.0 if not len(y) else (30.0 if y[0] else -30.0)
         return Model(np.zeros(width), 0.0, np.zeros(META), 0.0, (0.0, odds), (0.0, odds), odds)
     back = np.array([zlib.crc32(f"back{r.doc_id}".encode()) % 1000 < 1000 * limits.held_back for r in labelled])
     if back.all() or not back.any() or len(set(y[~back])) < 2 or len(set(y[back])) < 2:
         back[:] = False
-    dense = TextView.width + np.arange(RATIOS)
-    text_of = lambda rs: _stack([(np.append(r.columns, dense), np.append(np.asarray(r.counts, dtype=float) / max(1, r.size), r.ratios)) for r in rs], width)
-    meta_of = lambda rs: _stack([(r.meta, np.ones(3)) for r in rs], META)
     train = [r for r, b in zip(labelled, back, strict=True) if not b]
-    views = {"text": (text_of, Logistic(width)), "meta": (meta_of, Logistic(META, 1e-3))}
-    given = {"text": {}, "meta": {}}  # pseudo-labels that each view was given: rid in the pool, label
-    seen = {}  # rows of the pool that were given
+    test, y_test = ([r for r, b in zip(labelled, back, strict=True) if b], y[back]) if back.any() else (labelled, y)
     base = float(y.mean())
-    most = {1: round(limits.per_round * base), 0: round(limits.per_round * (1 - base))}
-    for k in range(limits.rounds + 1):
-        for name, (of, model) in views.items():
-            extra = given[name]
-            model.fit(of(train + [seen[i] for i in extra]), np.concatenate([y[~back], np.array([extra[i] for i in extra], dtype=float)]))
-        if k == limits.rounds:
-            break
-        # Every row of the pool is scored where it lies; a few numbers of each task's surest come back, and the features of those taken.
-        surest = map_batches(pool, _surest({name: model for name, (_, model) in views.items()}, given, most, limits.sure), "view string, label int, sure double, doc_id bigint, rid bigint").toArrow().to_pylist()
-        surest.sort(key=lambda r: (r["view"] != "text", -r["label"], -r["sure"], r["doc_id"], r["rid"]))
-        taken = dict.fromkeys(((v, c) for v in views for c in most), 0)
-        before = {name: len(x) for name, x in given.items()}
-        for r in surest:
-            of, other = (r["view"], r["label"]), "meta" if r["view"] == "text" else "text"
-            if taken[of] < most[r["label"]] and r["rid"] not in given[other]:
-                given[other][r["rid"]] = float(r["label"])
-                taken[of] += 1
-        if before == {name: len(x) for name, x in given.items()}:
-            break
-        new = sorted({i for x in given.values() for i in x} - seen.keys())
-        seen |= {r.rid: r for r in pool.join(F.broadcast(spark.createDataFrame([(i,) for i in new], "rid bigint")), "rid", "left_semi").collect()} if new else {}
-    test = [r for r, b in zip(labelled, back, strict=True) if b] or labelled
-    y_test = y[back] if back.any() else y
-    scales = {name: platt(model.raw(of(test)), y_test) for name, (of, model) in views.items()}
     prior = float(np.log(base / (1 - base)))
-    t, m = views["text"][1], views["meta"][1]
-    return Model(t.w, t.b, m.w, m.b, scales["text"], scales["meta"], prior)
+    history: list[dict] = []
+    seen = {"text": (text_rows, text_rows(test)), "meta": (meta_rows, meta_rows(test))}
+
+    def fitted(taught: dict[str, list], given: dict, number: int) -> Model:
+        parts = {}
+        for view, (of, tested) in seen.items():
+            classifier = Logistic(width) if view == "text" else Logistic(META, 1e-3)
+            more = taught.get(view, [])
+            weight = np.concatenate([np.ones(len(train)), np.full(len(more), limits.weight)])
+            classifier.fit(of(train + more), np.concatenate([y[~back], np.array([float(r.label) for r in more])]), weight)
+            raw = classifier.raw(tested)
+            scale = platt(raw, y_test)
+            accuracy = float(np.mean((scale[0] * raw + scale[1] > 0) == (y_test > 0)))
+            history.append({"round": number, "view": view, "given": given.get(view, {}), "sampled": len(more), "accuracy": accuracy})
+            parts |= {f"{view}_w": classifier.w, f"{view}_b": classifier.b, f"{view}_scale": scale}
+        return Model(**parts, prior=prior, history=history)
+
+    pool = features.join(sample, "doc_id", "left").where("y is null").drop("y").withColumn("rank", F.pmod(F.xxhash64("rid", F.lit("taught")), F.lit(SCALE)))
+    n_pool = pool.count()
+    other = {"text": "meta", "meta": "text"}
+    model = fitted({}, {}, 0)
+    for number in range(1, limits.rounds + 1 if n_pool else 1):
+        counts: dict[tuple, dict[int, int]] = {}
+        histogram = map_batches(pool, _histogram(model, limits.sure), "view string, label int, step int, n bigint")
+        for view, label, step, n in histogram.groupBy("view", "label", "step").agg(F.sum("n")).collect():
+            counts.setdefault((view, label), {})[step] = n
+        cuts, given = {}, {"text": {}, "meta": {}}
+        for (view, label), own in counts.items():
+            part = base if label else 1 - base
+            step, n = cut_off(own, number * limits.share * part * n_pool)
+            cuts[view, label] = step, min(SCALE, int(SCALE * limits.fit_rows * part / n))
+            given[other[view]][label] = n
+        schema = "view string, label int, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pool.schema.fields)
+        taught: dict[str, list] = {"text": [], "meta": []}
+        for r in sorted(map_batches(pool, _above(model, limits.sure, cuts), schema).collect(), key=lambda r: (r.view, r.label, r.rid)):
+            taught[other[r.view]].append(r)
+        model = fitted(taught, given, number)
+    return model
+
 
+def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", limits: Limits = Limits()) -> Model:
+    return fit_features(features_of(docs), labels, target, limits)
 
-def _score(model: Model, least: float):
+
+def _scored(model: Model, least: float):
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
-        import pyarrow.compute as pc
 
-        view = text_view()
-        odds = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-        for whole in batches:
-            for batch in slices(whole, "text"):
-                row, word, shaped, count, ratios = view.words(pc.fill_null(batch.column("text"), ""))
-                both = np.bincount(row, weights=model.text_w[word] + model.text_w[shaped], minlength=batch.num_rows)
-                raw = both / np.maximum(1, count) + ratios @ model.text_w[view.width :] + model.text_b
-                columns = [meta_columns(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("source", "lang", "n_bytes")), strict=True)]
-                meta = model.meta_w[np.array(columns, dtype=np.int64).reshape(-1, 3)].sum(axis=1) + model.meta_b
-                a, b = model.text_scale[0] * raw + model.text_scale[1], model.meta_scale[0] * meta + model.meta_scale[1]
-                score = odds(a + b - model.prior)
+        chance = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+        for batch in batches:
+            if batch.num_rows:
+                odds = model.log_odds(batch)
+                score = chance(odds["text"] + odds["meta"] - model.prior)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(odds(a)), pa.array(odds(b)), pa.array(score), pa.array(score >= least)], names=["doc_id", "p_text", "p_meta", "score", "kept"]
+                    [batch.column("doc_id"), pa.array(chance(odds["text"])), pa.array(chance(odds["meta"])), pa.array(score), pa.array(score >= least)],
+                    names=["doc_id", "p_text", "p_meta", "score", "kept"],
                 )
 
     return run
 
 
+SCORES = "doc_id bigint, p_text double, p_meta double, score double, kept boolean"
+
+
+def score_features(features: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """doc_id, p_text, p_meta (calibrated views), score and kept (score at ``least`` or above) of each row of features."""
+    return map_batches(features, _scored(model, least), SCORES)
+
+
 def score(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
-    """doc_id, p_text, p_meta (calibrated views), score and kept (score at ``least`` or above) of each row."""
-    return map_batches(_rows(docs), _score(model, least), "doc_id bigint, p_text double, p_meta double, score double, kept boolean")
+    """The same from documents: their features are not written."""
+    return map_batches(_rows(docs), lambda batches: _scored(model, least)(_features(batches)), SCORES)

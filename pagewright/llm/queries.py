@@ -152,7 +152,8 @@ def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_cotrain(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return cotrain.score(docs, cotrain.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality")))
+    features = cotrain.features_of(docs)
+    return cotrain.score_features(features, cotrain.fit_features(features, table(spark, sf_dir, "labels").select("doc_id", "quality")))
 
 
 def op5_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
