@@ -31,7 +31,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    """A new folder below the application's own, which is deleted at the end of the program."""
+    own = spark.sparkContext.applicationId
+    if own not in _to_clean:
+        _to_clean.add(own)
+        atexit.register(_clean, spark)
+    return f"{shared_dir(spark)}/{own}/{label}-{uuid.uuid4().hex}"
+
+
+def _clean(spark: SparkSession) -> None:
+    """At the end of the program: the application's folder, if the session still runs."""
+    try:
+        if spark.sparkContext._jsc is not None:
+            remove(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    except Exception:  # the session is gone; what is left belongs to whoever owns the folder
+        pass
+
+
+_to_clean: set[str] = set()
 
 
 def materialize(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
@@ -43,3 +60,9 @@ def materialize(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table that nothing reads any more, in whatever store it lies."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
