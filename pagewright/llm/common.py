@@ -32,6 +32,22 @@ def release_memory() -> None:
         pass
 
 
+_warm: dict = {}
+
+
+def warm(kind: str, key, make):
+    """What a worker keeps of one operator from task to task, made where it is not there.
+
+    Workers outlive a stage, so another operator's is dropped first: a pipeline takes what its largest stage
+    takes, not the sum of all.
+    """
+    if (kind, key) not in _warm:
+        _warm.clear()
+        release_memory()
+        _warm[kind, key] = make()
+    return _warm[kind, key]
+
+
 def _tidy(run):
     def tidied(batches):
         try:

@@ -30,7 +30,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import broadcast_if, map_batches, materialize, slices
+from pagewright.llm.common import broadcast_if, map_batches, materialize, slices, warm
 
 WORDS, SHAPES, RATIOS = 1 << 13, 1 << 9, 6
 SOURCES, LANGS, SIZES, BINS, LAYOUT = 512, 64, 32, 16, 7
@@ -130,14 +130,9 @@ class TextView:
         return row, there[:, 0], there[:, 1], count, ratios
 
 
-_view: list[TextView] = []
-
-
 def text_view() -> TextView:
     """The worker's view, whose memory later tasks of the same worker find warm."""
-    if not _view:
-        _view.append(TextView())
-    return _view[0]
+    return warm("quality", None, TextView)
 
 
 def _kinds_of_bytes():

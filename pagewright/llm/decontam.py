@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from pagewright.llm.common import broadcast_if, map_batches, materialize, slices
+from pagewright.llm.common import broadcast_if, map_batches, materialize, slices, warm
 
 K1, B = 1.2, 0.75
 POSTING_BLOCK = 16
@@ -282,16 +282,9 @@ class Matcher:
         return {d: sorted(x) for d, x in out.items()}
 
 
-_kept: dict[int, Matcher] = {}
-
-
 def matcher_of(rows: list[tuple[int, str]], threshold: float, others: float, whole: Whole | None = None) -> Matcher:
     """The worker's matcher for these items, whose memory later tasks of the same worker find warm."""
-    key = hash((tuple(rows), threshold, others, whole))
-    if key not in _kept:
-        _kept.clear()
-        _kept[key] = Matcher(Index(rows, threshold, others, whole))
-    return _kept[key]
+    return warm("decontamination", hash((tuple(rows), threshold, others, whole)), lambda: Matcher(Index(rows, threshold, others, whole)))
 
 
 def _match(rows: list[tuple[int, str]], threshold: float, others: float):

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import broadcast_if, map_batches, slices
+from pagewright.llm.common import broadcast_if, map_batches, slices, warm
 
 DIMENSIONS = 1024
 SEED = 7
@@ -143,14 +143,9 @@ class Profiler:
         return letters, seen[points]
 
 
-_kept: dict[int, Profiler] = {}
-
-
 def profiler_of(dimensions: int) -> Profiler:
     """The worker's profiler, which later tasks of the same worker find ready."""
-    if dimensions not in _kept:
-        _kept[dimensions] = Profiler(dimensions)
-    return _kept[dimensions]
+    return warm("language", dimensions, lambda: Profiler(dimensions))
 
 
 def _bundle(dimensions: int):

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import broadcast_if, map_batches, materialize, slices
+from pagewright.llm.common import broadcast_if, map_batches, materialize, slices, warm
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 #: Word pieces that a worker remembers before it starts afresh.
@@ -125,14 +125,9 @@ class WordTokenizer:
         return ids, np.diff(text_ends, prepend=0)
 
 
-_kept: dict[str, WordTokenizer] = {}
-
-
 def tokenizer_of(path: str) -> WordTokenizer:
     """The worker's tokenizer, which later tasks of the same worker find warm."""
-    if path not in _kept:
-        _kept[path] = WordTokenizer(path)
-    return _kept[path]
+    return warm("packing", path, lambda: WordTokenizer(path))
 
 
 def _tokenize(path: str, end_id: int):

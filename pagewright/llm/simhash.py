@@ -26,7 +26,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import map_batches, materialize, slices
+from pagewright.llm.common import map_batches, materialize, slices, warm
 from pagewright.llm.components import connected_components
 
 SEED = 42
@@ -82,6 +82,7 @@ def _fingerprints(width: int):
         import pyarrow as pa
         import pyarrow.compute as pc
 
+        warm("simhash", width, _bits)  # drops what other operators left in the worker
         for whole in batches:
             for batch in slices(whole, "text"):
                 texts = pc.fill_null(batch.column("text"), "").cast(pa.binary()).to_pylist()
