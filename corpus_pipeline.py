@@ -10,28 +10,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.llm import decontam, host_rules, lang_id, packing, simhash
-from pagewright.llm.common import materialize, table
+from pagewright.llm.common import free_name, materialize, table
 from pagewright.llm.queries import tokenizer_path
+from pagewright.sources.shared import new_path, remove
 
 #: A document is rejected if its text is in no learned language, or hardly like any.
 LEAST_LANGUAGE_SCORE = 0.05
 
 
-def _with_free_names(docs: DataFrame, taken: tuple[str, ...]) -> DataFrame:
-    """``docs`` with the names that an operator adds set aside."""
-    return docs.withColumnsRenamed({c: f"__own_{c}" for c in taken if c in docs.columns})
+def _set_aside(docs: DataFrame, taken: tuple[str, ...]) -> dict[str, str]:
+    """Free names for those columns of ``docs`` whose names an operator adds."""
+    aside: dict[str, str] = {}
+    for c in docs.columns:
+        if c.lower() in taken:
+            aside[c] = free_name(f"__own_{c}", [*docs.columns, *aside.values()])
+    return aside
 
 
-def _as_before(rows: DataFrame, docs: DataFrame) -> DataFrame:
+def _as_before(rows: DataFrame, docs: DataFrame, aside: dict[str, str]) -> DataFrame:
     """The columns of ``docs`` from ``rows``."""
-    return rows.select(*(F.col(f"__own_{c}").alias(c) if f"__own_{c}" in rows.columns else F.col(c) for c in docs.columns))
+    return rows.select(*(F.col(aside.get(c, c)).alias(c) for c in docs.columns))
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = _with_free_names(docs, ("held_out", "lang_pred", "score"))
+    aside = _set_aside(docs, ("held_out", "lang_pred", "score"))
+    rows = docs.withColumnsRenamed(aside)
     model = lang_id.fit_prototypes(rows.select("doc_id", "text", "lang").where(~lang_id.held_out(F.col("doc_id"))))
     judged = lang_id.identify(rows, *model, keep=tuple(rows.columns))
-    return _as_before(judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)), docs)
+    return _as_before(judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)), docs, aside)
 
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,12 +60,14 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
         .groupBy("component_id")
         .agg(F.min(order)["rid"].alias("rid"))
     )
+    # The side that is built holds a number for each row that stays, a small part of what its texts take: texts need no sort.
     return rows.join(first.select("rid").hint("shuffle_hash"), "rid", "left_semi").select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontam.find_leaks(spark, _with_free_names(docs, ("item_ids",)), table(spark, sf_dir, "benchmark"))
-    return _as_before(found.where(F.size("item_ids") == 0), docs)
+    aside = _set_aside(docs, ("item_ids",))
+    found = decontam.find_leaks(spark, docs.withColumnsRenamed(aside), table(spark, sf_dir, "benchmark"))
+    return _as_before(found.where(F.size("item_ids") == 0), docs, aside)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -79,9 +87,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = materialize(spark, docs, f"pipeline-{name}")
-    return docs
+    """The packed pieces of ``documents``; a stage's table goes when the next one's is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        path = new_path(spark, f"pipeline-{name}")
+        kept = stage(spark, docs, sf_dir)
+        kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
+    return STAGES[-1][1](spark, docs, sf_dir)
