@@ -15,7 +15,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.operators import ocr, quality
+from pagewright.operators import ocr, quality, suppress
 from pagewright.operators.merge import apply_overrides, merge_pages
 from pagewright.plans.pipeline import document_meta, structured
 from pagewright.operators.structure import strict_violations
@@ -27,6 +27,10 @@ from pagewright.sources.shared import materialize
 LOGGED_FAILURES = 1000
 
 
+#: Steps that not every document has, and their folders below the artifacts.
+OPTIONAL_STEPS = {"ocr_summary": ("ocr",)}
+
+
 def log(tool: str, **details) -> None:
     print(json.dumps({"tool": tool, **details}), file=sys.stderr)
 
@@ -46,7 +50,11 @@ def write_steps(folder: str, per_doc_dir: bool, steps: DataFrame) -> None:
             own = os.path.join(folder, r.doc_id, "artifacts") if per_doc_dir else os.path.join(folder, "artifacts", r.doc_id)
             os.makedirs(own, exist_ok=True)
             for n in names:
-                with open(os.path.join(own, f"{n}.txt"), "w", encoding="utf-8", newline="") as f:
+                if n in OPTIONAL_STEPS and r[n] is None:
+                    continue
+                path = os.path.join(own, *OPTIONAL_STEPS.get(n, ()), f"{n}.txt")
+                os.makedirs(os.path.dirname(path), exist_ok=True)
+                with open(path, "w", encoding="utf-8", newline="") as f:
                     f.write(r[n] or "")
 
     steps.foreachPartition(run)
@@ -82,26 +90,33 @@ def run_job(spark: SparkSession, job: config.Job, flags: config.Flags, extractor
 
     enabled = all(which(t) for t in ocr_tools)
     summary = quality.suspect_summary(pages, cfg.min_chars, sample)
-    overrides = None
+    overrides = seen = None
     if enabled and cfg.ocr.requested is not False:
         suspects = summary.select("doc_id", F.explode("suspect_pages").alias("page_idx"))
         seen = materialize(spark, ocr.recognise_pages(suspects, files, cfg.ocr, recogniser, renderer, ocr_tools), "recognised")
         overrides = seen.where("text is not null").select("doc_id", "page_idx", F.lit(0).alias("seq"), "text")
-        log("ocr_tesseract", attempted=seen.count(), texts=overrides.count())
+        tried, good, skipped = seen.agg(F.count("*"), F.count("text"), F.count_if("skipped")).first()
+        log("ocr_tesseract", attempted=tried, success=good, failed=tried - good, skipped=skipped)
     if sample:
         cfg = config.PipelineConfig(**{**vars(cfg), "sample_suspects": sample})
     docs = materialize(spark, structured(pages, cfg, overrides), "structured")
     if cfg.strict and not strict_violations(docs, cfg.law_mode).where("violates").isEmpty():
         log("promote_legal_headings", error="StructureNotFound")
         return config.EXIT_CODES["structure"]
-    meta = document_meta(pages, cfg, documents.timings(extracted), overrides, enabled)
+    meta = document_meta(pages, cfg, documents.timings(extracted), overrides, enabled, docs)
     out = emit.meta_json(meta).join(docs.select("doc_id", "markdown"), "doc_id")
     try:
         emit.export_files(out, job.output_dir, flags.per_doc_dir)
         if flags.artifacts or flags.dump_steps:
             step = lambda df, name: merge_pages(df).withColumnRenamed("text", name)
             merged = apply_overrides(pages, overrides) if overrides is not None else pages
-            steps = step(pages, "step1_extract").join(step(merged, "step2_merge"), "doc_id").join(docs.select("doc_id", F.col("raw_text").alias("suppressed"), F.col("markdown").alias("step3_md")), "doc_id")
+            steps = step(pages, "step1_extract").join(step(merged, "step2_merge"), "doc_id")
+            steps = steps.join(docs.select("doc_id", F.col("raw_text").alias("suppressed"), F.col("markdown").alias("step3_md")), "doc_id")
+            if cfg.suppressor:
+                repeated = suppress.candidates(merged, cfg.suppressor, cfg.rules).groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_set("norm")), "\n").alias("suppressor_preview"))
+                steps = steps.join(repeated, "doc_id", "left")
+            if seen is not None:
+                steps = steps.join(ocr.summary(seen), "doc_id", "left")
             write_steps(job.output_dir, flags.per_doc_dir, steps)
     except Exception as e:
         if "WriteFailed" not in str(e):

@@ -8,7 +8,7 @@ import subprocess
 import tempfile
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.schema import OcrConfig
@@ -16,6 +16,8 @@ from pagewright.schema import OcrConfig
 RESULT = "doc_id string, page_idx int, text string, error string, skipped boolean"
 FALLBACK_LANG, FALLBACK_PSM = "ind+eng", 6
 TIMEOUT_S = 45
+#: Suspect pages of a file that one row carries; a file of many is dealt to several tasks.
+PAGES_A_ROW = 32
 
 #: (image path, language, page segmentation mode, engine mode) to text; raises RuntimeError with a reason.
 Recogniser = Callable[[str, str, int, int], str]
@@ -77,8 +79,18 @@ def recognise_pages(suspects: DataFrame, files: DataFrame, cfg: OcrConfig, recog
     """doc_id, page_idx, text, error, skipped for each row of ``suspects``; ``files`` has doc_id and content.
 
     A page that fails has an error and no text; where a tool is missing, pages are skipped. No failure
-    ends the job.
+    ends the job. A file is handed on once for up to ``PAGES_A_ROW`` of its suspect pages, not once for each.
     """
+    in_order = F.row_number().over(Window.partitionBy("doc_id").orderBy("page_idx")) - 1
+    asked = suspects.select("doc_id", "page_idx").withColumn("__part", F.floor(in_order / PAGES_A_ROW))
+    asked = asked.groupBy("doc_id", "__part").agg(F.array_sort(F.collect_list("page_idx")).alias("page_idxs"))
+
+    def recognised(content: bytes, page_idx: int) -> tuple[str | None, str | None]:
+        with tempfile.TemporaryDirectory() as folder:
+            try:
+                return with_retries(recogniser, renderer(content, page_idx, cfg.dpi, folder), cfg)
+            except RuntimeError as e:
+                return None, str(e)
 
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
@@ -86,15 +98,26 @@ def recognise_pages(suspects: DataFrame, files: DataFrame, cfg: OcrConfig, recog
         missing = any(shutil.which(t) is None for t in tools)
         for pdf in batches:
             out = []
-            for doc_id, page_idx, content in zip(pdf.doc_id, pdf.page_idx, pdf.content, strict=True):
-                text = error = None
-                if not missing:
-                    with tempfile.TemporaryDirectory() as folder:
-                        try:
-                            text, error = with_retries(recogniser, renderer(content, int(page_idx), cfg.dpi, folder), cfg)
-                        except RuntimeError as e:
-                            error = str(e)
-                out.append((doc_id, page_idx, text, error, missing))
+            for doc_id, page_idxs, content in zip(pdf.doc_id, pdf.page_idxs, pdf.content, strict=True):
+                out += [(doc_id, int(i), *(recognised(content, int(i)) if not missing else (None, None)), missing) for i in page_idxs]
             yield pd.DataFrame(out, columns=["doc_id", "page_idx", "text", "error", "skipped"])
 
-    return suspects.select("doc_id", "page_idx").join(files.select("doc_id", "content"), "doc_id").mapInPandas(run, RESULT)
+    return files.select("doc_id", "content").join(asked.hint("shuffle_hash"), "doc_id").select("doc_id", "page_idxs", "content").mapInPandas(run, RESULT)
+
+
+def summary(seen: DataFrame) -> DataFrame:
+    """doc_id, ocr_summary: how many pages were tried, with what success, and the errors, as text; from the rows of :func:`recognise_pages`."""
+    failed = F.array_sort(F.collect_list(F.when(F.col("text").isNull(), F.struct("page_idx", F.coalesce("error", F.lit("")).alias("error")))))
+    rows = seen.groupBy("doc_id").agg(F.count("*").alias("n"), failed.alias("failed"))
+    n_failed, numbers = F.size("failed"), F.array_join(F.transform("failed", lambda x: x["page_idx"].cast("string")), ", ")
+    errors = F.filter("failed", lambda x: x["error"] != "")
+    said = F.array_join(F.transform(errors, lambda x: F.concat(F.lit("- page_index="), x["page_idx"].cast("string"), F.lit(" error="), x["error"])), "\n")
+    text = F.concat_ws(
+        "\n",
+        F.concat(F.lit("attempted: "), F.col("n").cast("string")),
+        F.concat(F.lit("success: "), (F.col("n") - n_failed).cast("string")),
+        F.concat(F.lit("failed: "), n_failed.cast("string")),
+        F.when(n_failed > 0, F.concat(F.lit("failed_indices: ["), numbers, F.lit("]"))),
+        F.when(F.size(errors) > 0, F.concat(F.lit("errors:\n"), said)),
+    )
+    return rows.select("doc_id", F.concat(text, F.lit("\n")).alias("ocr_summary"))

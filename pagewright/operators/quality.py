@@ -10,12 +10,13 @@ from pagewright.functions import text as X
 
 
 def page_sizes(pages: DataFrame) -> DataFrame:
+    """doc_id, page_idx, visible_chars; a row without page_idx is a document without pages."""
     return pages.select("doc_id", "page_idx", X.visible_length(F.coalesce("text", F.lit(""))).alias("visible_chars"))
 
 
 def suspect_pages(pages: DataFrame, min_chars: int = 64) -> DataFrame:
     """doc_id, page_idx, visible_chars of pages with fewer than ``min_chars`` characters that are not white space."""
-    return page_sizes(pages).where(F.col("visible_chars") < min_chars)
+    return page_sizes(pages).where(F.col("page_idx").isNotNull() & (F.col("visible_chars") < min_chars))
 
 
 def suspect_summary(pages: DataFrame, min_chars: int = 64, sample: int | None = None, run_pages: DataFrame | None = None) -> DataFrame:
@@ -25,7 +26,7 @@ def suspect_summary(pages: DataFrame, min_chars: int = 64, sample: int | None =
     """
     suspect = F.col("visible_chars") < min_chars
     rows = page_sizes(pages).groupBy("doc_id").agg(
-        F.count("*").cast("int").alias("page_count"), F.array_sort(F.collect_list(F.when(suspect, F.col("page_idx")))).alias("suspect_pages")
+        F.count("page_idx").cast("int").alias("page_count"), F.array_sort(F.collect_list(F.when(suspect, F.col("page_idx")))).alias("suspect_pages")
     )
     if sample:
         rows = rows.withColumn("suspect_pages", F.slice("suspect_pages", 1, sample))

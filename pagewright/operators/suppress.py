@@ -1,6 +1,6 @@
 """Suppression of lines that recur at the top or bottom of a document's pages.
 
-Pages are (doc_id, page_idx, text). Lines become rows; frequencies are a partial and a final hash
+Pages are (doc_id, page_idx, text); a row without page_idx is a document without pages. Lines become rows; frequencies are a partial and a final hash
 aggregation by document and line, or a window where the lines themselves are wanted; a running count over
 a page's drops caps what a page may lose.
 """
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pagewright.functions import patterns as P
 from pagewright.functions import text as X
 from pagewright.schema import SuppressorConfig
+from pagewright.sources.shared import partitions_for
 
 
 def page_lines(pages: DataFrame) -> DataFrame:
@@ -36,7 +37,7 @@ def least_count(cfg: SuppressorConfig, n_pages: Column) -> Column:
 
 def candidates(pages: DataFrame, cfg: SuppressorConfig = SuppressorConfig(), rules: P.RuleSet = P.DEFAULT_RULES) -> DataFrame:
     """doc_id, norm of the lines that recur often enough, at an edge of the page at least every other time."""
-    counts = pages.groupBy("doc_id").agg(F.count("*").alias("__pages"))
+    counts = pages.groupBy("doc_id").agg(F.count("page_idx").alias("__pages"))
     least = least_count(cfg, F.col("__pages"))
     rows = line_frequencies(pages, rules).join(counts, "doc_id")
     size = F.octet_length("norm")
@@ -56,9 +57,9 @@ def classified_lines(pages: DataFrame, cfg: SuppressorConfig = SuppressorConfig(
     lines by themselves, as an aggregation.)
     """
     in_document = Window.partitionBy("doc_id")
-    # A number keeps adaptive execution from joining partitions that are small in bytes but long to work on.
-    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = pages.select("doc_id", "page_idx", "text").repartition(n, "doc_id").withColumn("__pages", F.count("*").over(in_document))
+    # A number keeps adaptive execution from joining partitions that are small in bytes but long to work on; it grows with the input.
+    rows = pages.select("doc_id", "page_idx", "text")
+    rows = rows.repartition(partitions_for(rows), "doc_id").withColumn("__pages", F.count("page_idx").over(in_document))
     rows = X.explode_lines(rows, "text", ["doc_id", "page_idx", "__pages"], keep_empty).withColumn("line", X.trim_end(F.col("line")))
     # Blank lines and headings are never repeated lines; they have no norm to be counted by.
     norm = X.normal(F.col("line"))

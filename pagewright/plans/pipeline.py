@@ -36,7 +36,7 @@ def _suppressed(pages: DataFrame, cfg: SuppressorConfig, rules: P.RuleSet) -> Da
     by_order = F.array_sort(F.collect_list(F.when(F.col("s").isNotNull(), F.struct("page_idx", "s"))))
     sample = F.flatten(F.transform(by_order, lambda p: F.transform(p["s"], lambda x: x["line"])))
     return by_page.groupBy("doc_id").agg(
-        F.count("*").cast("int").alias("page_count"),
+        F.count("page_idx").cast("int").alias("page_count"),
         X.joined(F.col("page_idx"), F.col("text")).alias("text"),
         F.sum("h").alias("suppressed_header"), F.sum("f").alias("suppressed_footer"), F.sum("o").alias("suppressor_overrun"),
         F.slice(sample, 1, cfg.sample).alias("removed_lines_sample"),
@@ -53,12 +53,15 @@ def _leaks(lines):
 
 
 def structured(pages: DataFrame, cfg: PipelineConfig = PipelineConfig(), overrides: DataFrame | None = None) -> DataFrame:
-    """One row per document: pages, raw text, Markdown, headings found, counters and metrics."""
+    """One row per document: pages, raw text, Markdown, headings found, counters and metrics.
+
+    A row of ``pages`` without page_idx stands for a document without pages, whose text and counts are empty.
+    """
     if overrides is not None:
         pages = apply_overrides(pages, overrides)
     if cfg.suppressor is None:
         counters = ("suppressed_header", "suppressed_footer", "suppressor_overrun")
-        merged = merge_pages(pages, F.count("*").cast("int").alias("page_count")).withColumns({**{c: F.lit(0).cast("bigint") for c in counters}, "removed_lines_sample": F.array().cast("array<string>")})
+        merged = merge_pages(pages, F.count("page_idx").cast("int").alias("page_count")).withColumns({**{c: F.lit(0).cast("bigint") for c in counters}, "removed_lines_sample": F.array().cast("array<string>")})
     else:
         merged = _suppressed(pages, cfg.suppressor, cfg.rules)
     rows = merged.withColumns({"raw_text": F.col("text"), "__raw_leaks": _leaks(X.lines(F.col("text"))), "__raw_chars": X.visible_length(F.col("text"))})
@@ -83,13 +86,15 @@ def structured(pages: DataFrame, cfg: PipelineConfig = PipelineConfig(), overrid
     )
 
 
-def document_meta(pages: DataFrame, cfg: PipelineConfig = PipelineConfig(), timings: DataFrame | None = None, overrides: DataFrame | None = None, ocr_enabled: bool = False) -> DataFrame:
+def document_meta(
+    pages: DataFrame, cfg: PipelineConfig = PipelineConfig(), timings: DataFrame | None = None, overrides: DataFrame | None = None, ocr_enabled: bool = False, docs: DataFrame | None = None
+) -> DataFrame:
     """The metadata of each document (see ``schema.DOCUMENT_META``) with its fingerprint.
 
     ``timings`` has doc_id, started_ms, finished_ms; without it both are 0. ``overrides`` are recognised
-    pages, which count as run.
+    pages, which count as run. ``docs`` is what :func:`structured` gave for the same arguments, if that is at hand.
     """
-    docs = structured(pages, cfg, overrides).drop("page_count")
+    docs = (structured(pages, cfg, overrides) if docs is None else docs).drop("page_count", "raw_text", "markdown")
     summary = quality.suspect_summary(pages, cfg.min_chars, cfg.sample_suspects, overrides)
     zero = F.lit(0).cast("bigint")
     if timings is None:

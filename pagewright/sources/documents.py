@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import text as X
 from pagewright.operators.slugs import base_name, with_unique_slugs
+from pagewright.sources.shared import BROADCAST_BYTES, materialize
 
 EXTRACTED = "doc_id string, page_idx int, text string, error string, started_ms bigint, finished_ms bigint"
 
-GUIDANCE = "No PDF at {path}. Suggested layout: ./input/uu/..., ./input/pp/..., ./input/permen/..., ./input/perwali/...; for example ./input/uu/NUMBER-YEAR.pdf"
+GUIDANCE = "{path} matches no PDF file. Put files below it, in a folder for each kind of law, and name them by number and year."
 
 
 class NoFilesFound(Exception):
@@ -27,15 +28,19 @@ class NoFilesFound(Exception):
 def enumerate_files(spark: SparkSession, path: str, pattern: str = "*.pdf", modified_after: str | None = None) -> DataFrame:
     """path, slug, doc_id, content of the files below ``path`` at any depth; an error if there are none.
 
-    Content is read only if a later step asks for it.
+    Slugs are numbered over the paths alone, which are written once; contents are read beside them, by path, and never
+    pass a sort. They stay where they are while the paths can be broadcast, and cross the network once beyond that.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
     files = reader.load(path)
-    if files.select("path").isEmpty():
+    named = materialize(spark, with_unique_slugs(files.select("path"), base_name(F.col("path")), ["path"]), "files")
+    n, n_bytes = named.agg(F.count("*"), F.sum(2 * F.octet_length("path") + 64)).first()
+    if not n:
         raise NoFilesFound(GUIDANCE.format(path=path))
-    return with_unique_slugs(files.select("path", "content"), base_name(F.col("path")), ["path"])
+    side = F.broadcast(named) if n_bytes <= BROADCAST_BYTES else named.hint("shuffle_hash")
+    return files.select("path", "content").join(side, "path").select("path", "slug", "doc_id", "content")
 
 
 def decode(content: Column) -> Column:
@@ -96,7 +101,10 @@ def poppler(content: bytes, layout: bool = True, nopgbrk: bool = True, timeout:
 
 
 def extract_pages(files: DataFrame, extractor: Extractor = poppler) -> DataFrame:
-    """doc_id, page_idx, text, error and times from files (doc_id, content); a file that fails is one row with an error and no page."""
+    """doc_id, page_idx, text, error and times from files (doc_id, content).
+
+    A file that fails is one row with an error and no page; one without pages is a row with neither.
+    """
 
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
@@ -108,7 +116,7 @@ def extract_pages(files: DataFrame, extractor: Extractor = poppler) -> DataFrame
                 start = now()
                 try:
                     pages = extractor(content)
-                    out += [(doc_id, i, t, None, start, now()) for i, t in enumerate(pages)]
+                    out += [(doc_id, i, t, None, start, now()) for i, t in enumerate(pages)] or [(doc_id, None, None, None, start, now())]
                 except ExtractionError as e:
                     out.append((doc_id, None, None, str(e), start, now()))
             frame = pd.DataFrame(out, columns=["doc_id", "page_idx", "text", "error", "started_ms", "finished_ms"])
@@ -119,6 +127,7 @@ def extract_pages(files: DataFrame, extractor: Extractor = poppler) -> DataFrame
 
 
 def good_pages(extracted: DataFrame) -> DataFrame:
+    """The pages of files that were read; a file without pages keeps one row, without page_idx."""
     return extracted.where(F.col("error").isNull()).select("doc_id", "page_idx", "text")
 
 

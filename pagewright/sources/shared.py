@@ -8,6 +8,12 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: A side is broadcast only when its measured size stays below this many bytes.
+BROADCAST_BYTES = 8 << 20
+#: Bytes of input that a partition should hold, where a plan says how many there are.
+PARTITION_BYTES = 64 << 20
 
 _local_dir: str | None = None
 
@@ -66,3 +72,22 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a table that nothing reads any more, in whatever store it lies."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def broadcast_if(df: DataFrame, n_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, to be broadcast if ``n_bytes``, which the caller measured, is within ``limit``, else sort-merged.
+
+    The second hint keeps Spark from broadcasting on its own estimate, which ignores what explode adds.
+    """
+    return F.broadcast(df) if n_bytes <= limit else df.hint("merge")
+
+
+def partitions_for(df: DataFrame, n_bytes: int = PARTITION_BYTES) -> int:
+    """How many partitions ``df`` should be dealt to: as the session says, or more where the tables it reads are large.
+
+    Tables of unknown size count as nothing.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = sum(x for x in sizes if x < 1 << 60)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-known // n_bytes))

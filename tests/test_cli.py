@@ -35,6 +35,8 @@ def test_job_end_to_end(spark, tmp_path):
     assert meta["found"]["pasal"] == 2 and meta["metrics"]["coverage_pages"] == 1.0
     assert (tmp_path / "out/a-1/a-1.md").read_text() == (tmp_path / "out/a-1/artifacts/step3_md.txt").read_text()
     assert (tmp_path / "out/a-1/artifacts/step1_extract.txt").read_text().endswith("\n-")
+    assert (tmp_path / "out/a-1/artifacts/ocr/ocr_summary.txt").read_text() == "attempted: 1\nsuccess: 1\nfailed: 0\n"
+    assert (tmp_path / "out/a-1/artifacts/suppressor_preview.txt").exists()
 
 
 def test_every_failure_leaves_a_trace(spark, tmp_path, monkeypatch, capfd):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pagewright.operators import ocr, report
 from pagewright.operators.slugs import slugify, with_unique_slugs
-from pagewright.plans.pipeline import document_meta
+from pagewright.plans.pipeline import document_meta, structured
 from pagewright.schema import OcrConfig, PipelineConfig
 from pagewright.sources import config, documents, emit
 from pagewright.streaming import documents as streaming
@@ -107,6 +107,19 @@ def test_extraction_keeps_going(spark):
     assert documents.good_pages(rows).count() == 2
 
 
+def test_a_file_without_pages_has_output(spark):
+    files = spark.createDataFrame([("none", b""), ("blank", b" "), ("one", b"Pasal 1")], "doc_id string, content binary")
+    rows = documents.extract_pages(files, lambda content: [content.decode()] if content else [])
+    pages = documents.good_pages(rows)
+    for cfg in (PipelineConfig(), PipelineConfig(suppressor=None)):
+        meta = {r.doc_id: r for r in document_meta(pages, cfg, documents.timings(rows)).collect()}
+        r = meta["none"]
+        assert set(meta) == {"none", "blank", "one"} and (r.page_count, r.suspect_pages, r.timing_ms_per_page, r.p95_latency_ms_per_page) == (0, [], [], 0)
+        assert tuple(r.metrics) == (0.0, 0.0, 0.0, 0) and tuple(r.found) == (0, False, False, 0, False) and r.stats.removed_lines_sample == []
+        assert (meta["blank"].page_count, meta["blank"].suspect_pages) == (1, [0])
+        assert {d.doc_id: d.markdown for d in structured(pages, cfg).collect()}["none"] == ""
+
+
 def test_job(tmp_path):
     assert config.load_job(JOB).input_glob == "./in/**/*.pdf"
     path = tmp_path / "job.json"
@@ -153,6 +166,10 @@ def test_recognition(spark):
     files = spark.createDataFrame([("a", b"x")], "doc_id string, content binary")
     rows = ocr.recognise_pages(suspects, files, OcrConfig(), lambda *a: "seen", draw, tools=()).collect()
     assert {(r.page_idx, r.text, r.error, r.skipped) for r in rows} == {(0, "seen", None, False), (1, None, "image_missing", False)}
+    done = ocr.recognise_pages(suspects, files, OcrConfig(), lambda *a: "seen", draw, tools=())
+    assert ocr.summary(done).first().ocr_summary == "attempted: 2\nsuccess: 1\nfailed: 1\nfailed_indices: [1]\nerrors:\n- page_index=1 error=image_missing\n"
+    many = spark.createDataFrame([("a", i) for i in range(100) if i != 1], "doc_id string, page_idx int")
+    assert sorted(r.page_idx for r in ocr.recognise_pages(many, files, OcrConfig(), lambda *a: "seen", draw, tools=()).collect()) == [i for i in range(100) if i != 1]
     rows = ocr.recognise_pages(suspects, files, OcrConfig(), lambda *a: "seen", draw, tools=("no-such-tool",)).collect()
     assert {(r.text, r.skipped) for r in rows} == {(None, True)}
 
@@ -193,7 +210,23 @@ def test_streams(spark, tmp_path):
     streaming.documents_of_batch(streaming.read_pages(spark, str(tmp_path / "in"), schema), lambda b: b.groupBy("doc_id").count(), str(tmp_path / "out"), str(tmp_path / "c1"), 100)
     assert {tuple(r) for r in streaming.merged_batches(spark, str(tmp_path / "out")).collect()} == {("a", 1), ("b", 1)}
     spark.createDataFrame([("a", 1, 2, "r")], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    whole = streaming.buffered(streaming.read_pages(spark, str(tmp_path / "in"), schema, files_per_trigger=1))
+    whole = streaming.buffered(streaming.read_pages(spark, str(tmp_path / "in"), schema, files_per_trigger=1), None)
     q = whole.writeStream.format("memory").queryName("whole_documents").outputMode("append").option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start()
     assert q.awaitTermination(100)
-    assert {tuple(r) for r in spark.sql("SELECT * FROM whole_documents").collect()} == {("a", 0, "p"), ("a", 1, "r"), ("b", 0, "q")}
+    assert {tuple(r) for r in spark.sql("SELECT * FROM whole_documents").collect()} == {("a", 0, "p", True), ("a", 1, "r", True), ("b", 0, "q", True)}
+
+
+def test_a_document_that_stays_incomplete_is_handed_on(spark, tmp_path):
+    import time
+
+    pages = spark.createDataFrame([("a", 0, 2, "p"), ("b", 0, 1, "q")], "doc_id string, page_idx int, n_pages int, text string")
+    pages.coalesce(1).write.parquet(str(tmp_path / "in"))
+    found = streaming.buffered(streaming.read_pages(spark, str(tmp_path / "in"), pages.schema), wait_s=1)
+    q = found.writeStream.format("memory").queryName("late_documents").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).start()
+    try:
+        until = time.time() + 60
+        while time.time() < until and spark.sql("SELECT * FROM late_documents").count() < 2:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    assert {tuple(r) for r in spark.sql("SELECT * FROM late_documents").collect()} == {("a", 0, "p", False), ("b", 0, "q", True)}
