@@ -8,10 +8,12 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagewright.sources.shared import materialize
+from pagewright.sources.shared import broadcast_if, materialize, partitions_for
 
 #: A slug that is another one with a number behind it; no table has so many rows that a longer number is met.
 NUMBERED = r"^(.*)-([1-9][0-9]{0,17})$"
+#: Rows of a slug that one task numbers.
+WINDOW_ROWS = 1_000_000
 WALKED = "slug string, child string, row_kept bigint, lost_kept boolean, row_lost bigint, lost_lost boolean, chain array<string>"
 
 
@@ -75,32 +77,53 @@ def _losing(walked: DataFrame) -> DataFrame:
     return sure.unionByName(steps.where(end).select("child"))
 
 
-def with_unique_slugs(files: DataFrame, name: Column, order: list) -> DataFrame:
+def running_total(rows: DataFrame, value: Column, order: list[str], name: str, hot: bool) -> DataFrame:
+    """``rows`` with ``name``, the sum of ``value`` over the rows of its slug up to it, in ``order``.
+
+    If some slug is ``hot``, no task takes all rows of a slug: rows are dealt by ranges of slug and order and written,
+    summed within their range, and moved by the sum of the ranges before, which is a row for each end of a range at most.
+    """
+    if not hot:
+        return rows.withColumn(name, F.sum(value).over(Window.partitionBy("slug").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
+    n = partitions_for(rows)
+    dealt = rows.withColumn("__value", value).repartitionByRange(n, "slug", *order).withColumn("__range", F.spark_partition_id())
+    dealt = materialize(rows.sparkSession, dealt, "slug-ranges")
+    sums = dealt.groupBy("slug", "__range").agg(F.sum("__value").alias("__sum"))
+    before = F.sum("__sum").over(Window.partitionBy("slug").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    moved = sums.select("slug", "__range", before.alias("__before")).where("__before <> 0")
+    here = F.sum("__value").over(Window.partitionBy("slug", "__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    joined = dealt.withColumn(name, here).join(broadcast_if(moved, 256 * n), ["slug", "__range"], "left")
+    return joined.withColumn(name, F.col(name) + F.coalesce("__before", F.lit(0))).drop("__value", "__range", "__before")
+
+
+def with_unique_slugs(files: DataFrame, name: Column, order: list, window_rows: int = WINDOW_ROWS) -> DataFrame:
     """``files`` with slug and doc_id: a slug met before gets the lowest free suffix -1, -2, ...
 
     Rows are met in ``order``, those at one place of it by slug. Rows of one slug are numbered by a window. A number may
     clash with a slug that is natural elsewhere (``a``, ``a``, ``a-1``); whichever is met first has the name. A slug's
     numbers only rise, so what decides is how many of its rows come before the first row of each numbered slug: these
     distinct slugs alone are walked, in the order of their numbers, and each that a slug passes moves the numbers of
-    its further rows by one.
+    its further rows by one. A slug of more than ``window_rows`` rows is numbered by several tasks.
     """
     rows = files.withColumn("slug", slugify(name)).withColumn("__order", F.struct(*order))
-    slugs = rows.groupBy("slug").agg(F.min("__order").alias("__order"))
+    slugs = materialize(files.sparkSession, rows.groupBy("slug").agg(F.min("__order").alias("__order"), F.count("*").alias("n")), "slug-counts")
+    hot = (slugs.agg(F.max("n")).first()[0] or 0) > window_rows
+    slugs = slugs.drop("n")
     numbered = slugs.select(F.regexp_extract("slug", NUMBERED, 1).alias("stem"), F.col("slug").alias("child"), F.regexp_extract("slug", NUMBERED, 2).alias("k"), "__order").where("stem <> ''")
     clashing = numbered.join(slugs.select(F.col("slug").alias("stem")), "stem", "left_semi").select(F.col("stem").alias("slug"), "child", F.col("k").cast("bigint").alias("k"), "__order")
     own = rows.join(clashing.select("slug"), "slug", "left_semi").select("slug", "__order")
-    met = own.unionByName(clashing, allowMissingColumns=True)
-    so_far = F.count(F.when(F.col("child").isNull(), 1)).over(Window.partitionBy("slug").orderBy("__order").rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    by_number = met.withColumn("before", so_far).where("child is not null").select("slug", "child", "k", "before").repartition("slug").sortWithinPartitions("slug", "k")
+    met = own.unionByName(clashing, allowMissingColumns=True).withColumn("__late", F.col("child").isNotNull())
+    met = running_total(met, F.when(F.col("child").isNull(), 1).otherwise(0), ["__order", "__late"], "before", hot)
+    by_number = met.where("child is not null").select("slug", "child", "k", "before").repartition("slug").sortWithinPartitions("slug", "k")
     walked = materialize(files.sparkSession, by_number.mapInArrow(_walk, WALKED), "slugs")
-    rows = rows.withColumn("__n", F.row_number().over(Window.partitionBy("slug").orderBy("__order")) - 1)
+    rows = running_total(rows, F.lit(1), ["__order"], "__n", hot).withColumn("__n", F.col("__n") - 1)
     if not walked.isEmpty():
         losing = _losing(walked)
         moved = losing.select(F.col("child").alias("slug"), F.lit(0).alias("__n"))
         stems = walked.join(losing.select(F.col("child").alias("slug"), F.lit(True).alias("lost")), "slug", "left")
         passed = stems.where("if(lost, not lost_lost, not lost_kept)").select("slug", F.expr("if(lost, row_lost, row_kept)").alias("__n"))
         both = rows.withColumn("__move", F.lit(0)).unionByName(moved.unionByName(passed).withColumn("__move", F.lit(1)), allowMissingColumns=True)
-        moves = F.sum("__move").over(Window.partitionBy("slug").orderBy("__n").rangeBetween(Window.unboundedPreceding, Window.currentRow))
-        rows = both.withColumn("__n", F.col("__n") + moves).where("__move = 0")
+        both = both.withColumn("__late", F.col("__move") == 0)  # what moves a row at a number comes before it
+        rows = running_total(both, F.col("__move"), ["__n", "__late"], "__moves", hot).where("__move = 0").withColumn("__n", F.col("__n") + F.col("__moves"))
     number = F.col("__n").cast("string")
     return rows.withColumn("doc_id", F.when(F.col("__n") > 0, F.concat_ws("-", "slug", number)).otherwise(F.col("slug"))).select(*files.columns, "slug", "doc_id")

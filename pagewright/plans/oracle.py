@@ -156,11 +156,16 @@ REPORT = """SELECT doc_id, (SELECT count(*) FROM {pages} p WHERE p.doc_id = d.do
   (s.removed_header + f.removed_header)::BIGINT AS removed_header, (s.removed_footer + f.removed_footer)::BIGINT AS removed_footer, suppressor_overrun, character_coverage, leak_rate, split_violations
 FROM dehyph d JOIN sstats s USING (doc_id) JOIN fstats f USING (doc_id) JOIN found USING (doc_id) JOIN cover USING (doc_id) JOIN leak USING (doc_id) JOIN splits USING (doc_id)"""
 
-SUSPECTS = f"""sized AS (SELECT doc_id, page_idx, {visible("text")}::BIGINT AS visible_chars FROM pages_of),
+
+def suspects(source: str) -> str:
+    return f"""sized AS (SELECT doc_id, page_idx, {visible("text")}::BIGINT AS visible_chars FROM {source}),
 summed AS (
   SELECT doc_id, count(*)::INTEGER AS page_count, coalesce(list(page_idx ORDER BY page_idx) FILTER (visible_chars < 64), []) AS suspect_pages FROM sized GROUP BY doc_id
 )"""
 
+
+SUSPECTS = suspects("pages_of")
+
 SLUG = "coalesce(nullif(regexp_replace(regexp_replace(lower({x}), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'doc')"
 
 
@@ -170,6 +175,31 @@ def slugs(name: str, key: str, source: str) -> str:
     return f"SELECT {key}, slug, slug || CASE WHEN n > 0 THEN '-' || n ELSE '' END AS doc_id FROM (SELECT {key}, {slug} AS slug, row_number() OVER (PARTITION BY {slug} ORDER BY {key}) - 1 AS n FROM {source})"
 
 
+META = f"""WITH {SQL_LEGAL}, every AS (SELECT * FROM legal UNION ALL SELECT 'raw-' || doc_id, page_idx, text FROM pages_of), {suppressor('every')}, {CLEANUP}, {METRICS}, {suspects('every')},
+times AS (SELECT doc_id, 1000::BIGINT AS started_ms, (sum(length(text)) + 1000)::BIGINT AS finished_ms FROM every GROUP BY doc_id),
+report AS ({REPORT.format(pages='every')}),
+flat AS (
+  SELECT doc_id, 'poppler' AS engine, bab, mengingat, menimbang, pasal, penjelasan, character_coverage, 1.0::DOUBLE - len(suspect_pages)::DOUBLE / s.page_count AS coverage_pages, leak_rate, split_violations,
+         CASE WHEN len(suspect_pages) > 0 THEN 'tesseract_missing' END AS skipped_reason, ((finished_ms - started_ms) // s.page_count)::BIGINT AS ms, s.page_count, hyphens_fixed, removed_footer, removed_header,
+         removed_lines_sample, suppressor_overrun, suspect_pages, finished_ms, started_ms
+  FROM report r JOIN (SELECT doc_id, removed_lines_sample FROM sstats) USING (doc_id) JOIN summed s USING (doc_id) JOIN times USING (doc_id)
+),
+timed AS (SELECT *, list_transform(range(page_count), lambda x: ms) AS timing FROM flat),
+parts AS (
+  SELECT *, to_json({{'bab': bab, 'mengingat': mengingat, 'menimbang': menimbang, 'pasal': pasal, 'penjelasan': penjelasan}}) AS found,
+         to_json({{'character_coverage': character_coverage, 'coverage_pages': coverage_pages, 'leak_rate': leak_rate, 'split_violations': split_violations}}) AS metrics,
+         to_json({{'dpi': 300, 'enabled': false, 'lang': 'ind+eng', 'ocr_run_pages': []::INTEGER[], 'oem': 1, 'psm': 4, 'ran': false, 'skipped_reason': skipped_reason}}) AS ocr,
+         to_json({{'hyphens_fixed': hyphens_fixed, 'removed_footer': removed_footer, 'removed_header': removed_header, 'removed_lines_sample': removed_lines_sample, 'suppressor_overrun': suppressor_overrun}}) AS stats
+  FROM timed
+),
+texts AS (
+  SELECT *, '{{"doc_id":"' || doc_id || '","engine":"poppler","found":' || found || ',' AS a,
+         '"metrics":' || metrics || ',"ocr":' || ocr || ',"p95_latency_ms_per_page":' || ms || ',"page_count":' || page_count || ',"stats":' || stats
+         || ',"suspect_pages":' || to_json(suspect_pages) AS b, ',"timing_ms_per_page":' || to_json(timing) || '}}' AS c
+  FROM parts
+),
+signed AS (SELECT *, sha256(a || b || c) AS meta_fingerprint FROM texts)"""
+
 TRUTH = "truth AS (SELECT doc_id, count(*)::BIGINT AS want_bab, ((count(*) + 1) // 2)::BIGINT AS want_pasal FROM pages_of GROUP BY doc_id)"
 
 SQL = {
@@ -211,14 +241,28 @@ SQL = {
         FROM (SELECT user_id, floor(value)::BIGINT AS ms FROM events) GROUP BY user_id""",
     "url_slugs": slugs("regexp_replace(regexp_extract(url, '[^/]*$'), '(\\.pdf)+$', '')", "page_id", "pages"),
     "source_slugs": slugs("source || ' ' || lang || '.PDF'", "doc_id", "documents").replace("AS doc_id", "AS unique_slug"),
-    "fingerprint": f"""{FULL} SELECT doc_id, sha256('{{"bab":' || bab || ',"doc_id":"' || doc_id || '","mengingat":' || mengingat || ',"menimbang":' || menimbang || ',"pasal":' || pasal || ',"penjelasan":' || penjelasan || '}}') AS meta_fingerprint FROM found""",
+    "fingerprint": f"{META} SELECT doc_id, meta_fingerprint FROM signed",
+    "document_metadata": META
+    + """ SELECT doc_id, a || '"meta_fingerprint":"' || meta_fingerprint || '",' || b || ',"timestamps":{"finished_ms":' || finished_ms || ',"started_ms":' || started_ms || '}' || c AS meta_json FROM signed""",
+    "meta_read": META
+    + """ SELECT doc_id, engine, meta_fingerprint, ms AS p95_latency_ms_per_page, page_count, suspect_pages, timing AS timing_ms_per_page, bab AS found_bab, mengingat AS found_mengingat, menimbang AS found_menimbang,
+        pasal AS found_pasal, penjelasan AS found_penjelasan, character_coverage AS metrics_character_coverage, coverage_pages AS metrics_coverage_pages, leak_rate AS metrics_leak_rate, split_violations AS metrics_split_violations,
+        300 AS ocr_dpi, false AS ocr_enabled, 'ind+eng' AS ocr_lang, []::INTEGER[] AS ocr_ocr_run_pages, 1 AS ocr_oem, 4 AS ocr_psm, false AS ocr_ran, skipped_reason AS ocr_skipped_reason,
+        hyphens_fixed AS stats_hyphens_fixed, removed_footer AS stats_removed_footer, removed_header AS stats_removed_header, removed_lines_sample AS stats_removed_lines_sample, suppressor_overrun AS stats_suppressor_overrun,
+        finished_ms AS timestamps_finished_ms, started_ms AS timestamps_started_ms FROM signed""",
+    "extracted_files": f"""WITH {SQL_PAGES}, cut AS (SELECT doc_id, page_idx, text, max(CASE WHEN trim(text) <> '' THEN page_idx END) OVER (PARTITION BY doc_id) AS last FROM pages_of)
+        SELECT 'file-no-' || doc_id AS doc_id, page_idx, text, NULL::VARCHAR AS error FROM cut WHERE page_idx <= last AND doc_id::BIGINT % 9 <> 0
+        UNION ALL SELECT DISTINCT 'file-no-' || doc_id, NULL::INTEGER, NULL, NULL FROM cut WHERE last IS NULL OR doc_id::BIGINT % 9 = 0""",
+    "recognised_pages": f"""WITH {SQL_PAGES}, asked AS (SELECT doc_id, page_idx FROM pages_of WHERE {visible("text")} < 200)
+        SELECT doc_id, page_idx, CASE page_idx % 5 WHEN 0 THEN doc_id || '/' || page_idx || ' ind 4' WHEN 1 THEN doc_id || '/' || page_idx || ' ind+eng 6' END AS text,
+               CASE page_idx % 5 WHEN 2 THEN 'empty_text;empty_text;empty_text' WHEN 3 THEN 'tesseract_exit_1;tesseract_exit_1;tesseract_exit_1' WHEN 4 THEN 'image_missing' END AS error, false AS skipped FROM asked""",
     "markdown_digest": f"{FULL} SELECT doc_id, sha256(text) AS markdown_sha256 FROM markdown",
     "ground_truth_report": f"""{FULL}, {TRUTH}, right_ AS (SELECT *, CASE WHEN want_pasal = 0 THEN CASE WHEN pasal = 0 THEN 1.0 ELSE 0.0 END ELSE 1.0 - abs(pasal - want_pasal)::DOUBLE / want_pasal END AS accuracy FROM found JOIN truth USING (doc_id))
         SELECT doc_id, bab, pasal, want_bab, want_pasal, bab = want_bab AND pasal = want_pasal AS exact, accuracy, accuracy >= 0.98 AS reaches_goal, CASE WHEN bab = want_bab AND pasal = want_pasal THEN 'PASS' ELSE 'FAIL' END AS status FROM right_""",
     "ground_truth_overall": f"""{FULL}, {TRUTH} SELECT count(*)::BIGINT AS documents, (count(*) FILTER (bab <> want_bab OR pasal <> want_pasal))::BIGINT AS failures,
         CASE WHEN count(*) FILTER (bab <> want_bab OR pasal <> want_pasal) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM found JOIN truth USING (doc_id)""",
     "ground_truth_skipped": f"WITH {SQL_PAGES} SELECT DISTINCT CAST(doc_id AS VARCHAR) AS doc_id FROM labels WHERE CAST(doc_id AS VARCHAR) NOT IN (SELECT doc_id FROM pages_of)",
-    "idempotency": f"WITH {SQL_PAGES} SELECT DISTINCT doc_id, true AS equal FROM pages_of",
+    "idempotency": f"{FULL} SELECT doc_id, sha256(text) AS markdown_sha256, true AS equal FROM markdown",
     "strict_check": f"{FULL} SELECT doc_id, bab, pasal, bab = 0 OR pasal = 0 AS violates FROM found",
     "ocr_decision": f"""WITH {SQL_PAGES}, {SUSPECTS}, flags AS (SELECT e, f FROM (SELECT unnest([true, false]) AS e) a, (SELECT unnest([NULL, true, false]) AS f) b)
         SELECT doc_id, e AS enabled, f AS forced, len(suspect_pages)::INTEGER AS suspects, coalesce(f, len(suspect_pages) > 0) AS requested, e AND coalesce(f, len(suspect_pages) > 0) AND len(suspect_pages) > 0 AS ran,

@@ -11,9 +11,9 @@ from pagewright.functions import text as X
 from pagewright.operators import cleanup, merge, ocr, quality, report, slugs, structure, suppress
 from pagewright.plans.corpus import legal_from, legal_pages, pages_of, single_page_documents, truth_of
 from pagewright.plans.pipeline import document_meta, structured
-from pagewright.schema import PipelineConfig, SuppressorConfig
-from pagewright.sources.documents import split_form_feeds
-from pagewright.sources.emit import meta_json, read_meta
+from pagewright.schema import OcrConfig, PipelineConfig, SuppressorConfig
+from pagewright.sources.documents import enumerate_files, extract_pages, split_form_feeds
+from pagewright.sources.emit import meta_json, read_meta, write_table
 from pagewright.sources.shared import new_path
 from pagewright.streaming.documents import documents_of_batch, merged_batches, read_pages
 
@@ -235,10 +235,17 @@ def source_slugs(spark, sf_dir):
     return slugs.with_unique_slugs(docs, F.col("name"), ["id"]).select(F.col("id").alias("doc_id"), "slug", F.col("doc_id").alias("unique_slug"))
 
 
+def _metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata of the derived corpus and of the conversations themselves, some pages of which are suspect, with times from their sizes."""
+    plain = pages_of(spark, sf_dir).withColumn("doc_id", F.concat(F.lit("raw-"), "doc_id"))
+    pages = legal_pages(spark, sf_dir).unionByName(plain)
+    times = pages.groupBy("doc_id").agg(F.lit(1000).cast("bigint").alias("started_ms"), (F.sum(F.length("text")) + 1000).alias("finished_ms"))
+    return document_meta(pages, PipelineConfig(), times)
+
+
 @query
 def fingerprint(spark, sf_dir):
-    counts = structure_counts(spark, sf_dir)
-    return counts.select("doc_id", F.sha2(F.to_json(F.struct("bab", "doc_id", "mengingat", "menimbang", "pasal", "penjelasan")), 256).alias("meta_fingerprint"))
+    return _metadata(spark, sf_dir).select("doc_id", "meta_fingerprint")
 
 
 @query
@@ -264,8 +271,15 @@ def ground_truth_skipped(spark, sf_dir):
 
 @query
 def idempotency(spark, sf_dir):
-    run = lambda: document_meta(legal_pages(spark, sf_dir)).select("doc_id", "meta_fingerprint")
-    return report.repeatability(run(), run())
+    """Two runs over pages dealt in two ways, written as tables and compared by Markdown, metadata and fingerprint; with the digest of the first."""
+    pages, runs = legal_pages(spark, sf_dir), []
+    for dealt in (pages, pages.repartition(7, "page_idx")):
+        docs = structured(dealt)
+        out = meta_json(document_meta(dealt)).join(docs.select("doc_id", "markdown"), "doc_id")
+        path = new_path(spark, "run")
+        write_table(out, path)
+        runs.append(spark.read.parquet(path).select("doc_id", F.sha2(F.concat_ws("\n", "markdown", "meta_json"), 256).alias("digest"), F.sha2("markdown", 256).alias("markdown_sha256")))
+    return runs[0].select("doc_id", "markdown_sha256").join(report.repeatability(*runs, "digest"), "doc_id", "full_outer")
 
 
 @query
@@ -306,14 +320,64 @@ def acceptance_report(spark, sf_dir):
 
 @query
 def document_metadata(spark, sf_dir):
-    return document_meta(legal_pages(spark, sf_dir))
+    """Metadata as canonical JSON."""
+    return meta_json(_metadata(spark, sf_dir))
 
 
 @query
 def meta_read(spark, sf_dir):
-    """Metadata written as JSON and read back."""
-    meta = document_meta(legal_pages(spark, sf_dir))
-    return read_meta(meta_json(meta), meta.schema.simpleString(), "meta_json")
+    """Metadata written as JSON files, read back, and flattened."""
+    meta, path = _metadata(spark, sf_dir), new_path(spark, "meta")
+    meta_json(meta).select("meta_json").write.text(path)
+    read = read_meta(spark.read.text(path), meta.schema.simpleString())
+    nested = [(c, f.name) for c in ("found", "metrics", "ocr", "stats", "timestamps") for f in read.schema[c].dataType]
+    return read.select(
+        "doc_id", "engine", "meta_fingerprint", "p95_latency_ms_per_page", "page_count", "suspect_pages", "timing_ms_per_page", *(F.col(f"{c}.{x}").alias(f"{c}_{x}") for c, x in nested)
+    )
+
+
+@query
+def extracted_files(spark, sf_dir):
+    """Conversations as files cut by form feeds, every ninth of them blank: written, enumerated, named, decoded and cut into pages again."""
+    pages = pages_of(spark, sf_dir)
+    joined = pages.groupBy("doc_id").agg(X.joined(F.col("page_idx"), F.col("text"), "\f").alias("text"))
+    blank = F.col("doc_id").cast("long") % 9 == 0
+    path = new_path(spark, "files")
+    named = joined.select(F.concat(F.lit("File No. "), "doc_id").alias("name"), F.when(blank, " \f").otherwise(F.col("text")).alias("text"))
+    named.write.partitionBy("name").option("lineSep", "\x00").text(path)
+    files = enumerate_files(spark, path, "*.txt")
+    # Part files have names of their own; the folder's name stands for the file's.
+    folder = F.regexp_extract(F.expr("url_decode(path)"), "name=([^/]*)/", 1)
+    files = files.select(slugs.slugify(folder).alias("doc_id"), "content")
+
+    def cut(content: bytes) -> list[str]:
+        parts = content.decode("utf-8", "replace").rstrip("\x00").split("\f")
+        while parts and not parts[-1].strip():
+            parts.pop()
+        return parts
+
+    return extract_pages(files, cut).select("doc_id", "page_idx", "text", "error")
+
+
+@query
+def recognised_pages(spark, sf_dir):
+    """Suspect pages through the retry ladder with a recogniser that fails by page number, and what becomes of them."""
+    pages = pages_of(spark, sf_dir)
+    files = pages.select("doc_id").distinct().withColumn("content", F.col("doc_id").cast("binary"))
+
+    def render_page(content: bytes, page_idx: int, dpi: int, folder: str) -> str:
+        if page_idx % 5 == 4:
+            raise RuntimeError("image_missing")
+        return f"{content.decode()}/{page_idx}"
+
+    def recognise(image: str, lang: str, psm: int, oem: int) -> str:
+        page_idx = int(image.split("/")[1])
+        if page_idx % 5 == 3:
+            raise RuntimeError("tesseract_exit_1")
+        return " " if page_idx % 5 == 2 or (page_idx % 5 == 1 and psm != 6) else f"{image} {lang} {psm}"
+
+    asked = quality.suspect_pages(pages, 200).select("doc_id", "page_idx")
+    return ocr.recognise_pages(asked, files, OcrConfig(lang="ind"), recognise, render_page, tools=())
 
 
 @query

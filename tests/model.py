@@ -1,135 +1,113 @@
-"""A small sequential model of the document rules, to hold the relational plans against."""
+"""What the document rules say, in sets, counts and ranks over flat lists of lines, to hold the relational plans against."""
 
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
-
-D = "[‒–—−-]"
-HEADERS = [re.compile(p, re.I) for p in (r"\s*PRESIDEN\s+REPUBLIK\s+INDONESIA\s*", r"\s*KEMENTERIAN\s+KETENAGAKERJAAN\s*(RI)?\s*", r"\s*(TAMBAHAN\s+)?LEMBARAN\s+NEGARA\s+REPUBLIK\s+INDONESIA.*")]
-FOOTERS = [re.compile(rf"\s*{D}{{1,3}}\s*\d+\s*{D}{{1,3}}\s*"), re.compile(r"\s*(Hal(?:\.|aman))\s*\d+\s*", re.I)]
-HEADING = re.compile(r"(BAB\s+[IVXLCDM]|Pasal\s+\d+|Menimbang:?|Mengingat:?|PENJELASAN)\b", re.I)
-
-
-def rust_lines(t):
-    parts = t.split("\n")
-    ended = [p[:-1] if p.endswith("\r") else p for p in parts[:-1]]
-    return ended + ([parts[-1]] if parts[-1] else [])
-
-
-def whole(patterns, line):
-    return any(p.fullmatch(line) for p in patterns)
-
-
-def norm(line):
-    return re.sub(r"\s+", " ", line.strip())
-
-
-@dataclass
-class Out:
-    pages: list = field(default_factory=list)
-    header: int = 0
-    footer: int = 0
-    overrun: int = 0
-    sample: list = field(default_factory=list)
-    candidates: set = field(default_factory=set)
-
-
-def suppress(pages, keep=None):
-    freq, top, bottom, out = {}, {}, {}, Out()
-    for page in pages:
-        ls = rust_lines(page)
-        for i, raw in enumerate(ls):
-            line = raw.strip()
-            if not line or HEADING.match(line):
-                continue
-            n = norm(line)
-            freq[n] = freq.get(n, 0) + 1
-            top[n] = top.get(n, 0) + (i == 0)
-            bottom[n] = bottom.get(n, 0) + (i == len(ls) - 1)
-    least = max(1, -(-3 * max(1, len(pages)) // 5))
-    out.candidates = {n for n, c in freq.items() if c >= least and 3 <= len(n.encode()) <= 120 and not HEADING.match(n) and (2 * top[n] >= c or 2 * bottom[n] >= c)}
-    for page in pages:
-        gone, kept = 0, []
-        for raw in rust_lines(page):
-            line, drop = raw.rstrip(), True
-            if whole(HEADERS, line):
-                out.header += 1
-            elif whole(FOOTERS, line):
-                out.footer += 1
-            elif re.fullmatch(r"\s*\d{1,4}\s*", line):
-                drop = norm(line) in out.candidates
-                out.footer += drop
-            else:
-                drop = norm(line) in out.candidates
-            if drop and keep and re.search(keep, line):
-                drop = False
-            if drop:
-                gone += 1
-                if len(out.sample) < 5:
-                    out.sample.append(line.strip())
-                if gone <= 5:
-                    continue
-                out.overrun += 1
-            kept.append(line)
-        out.pages.append("\n".join(kept))
-    return out
-
-
-def cleanup(text):
-    fixed = len(re.findall(r"(\w)-\n(\w)", text))
-    text = re.sub(r"(\w)-\n(\w)", r"\1\2", text)
-    kept, header, footer = [], 0, 0
-    for line in rust_lines(text):
-        if whole(HEADERS, line):
-            header += 1
-        elif whole(FOOTERS, line) or re.fullmatch(r"\s*\d{1,3}\s*", line):
-            footer += 1
-        else:
-            kept.append(line)
-    joined, on = "", False
-    for i, line in enumerate(kept):
-        joined += ((" " if on else "\n") if i else "") + (line.lstrip() if i and on else line)
-        on = not HEADING.match(line) and bool(re.search(r"[0-9A-Za-z]\s*\Z", line))
-    ls, out, i = rust_lines(joined), [], 0
-    while i < len(ls):
-        line, step = ls[i], 1
-        token = next((f(m) for p, f in ((r"\s*\((\d+)\)\s*", lambda m: f"({m[1]})"), (r"\s*([0-9]+)\.\s*", lambda m: f"{m[1]}."), (r"\s*([a-z])\.\s*", lambda m: f"{m[1]}.")) if (m := re.fullmatch(p, line))), None)
-        if token and i + 1 < len(ls) and ls[i + 1].strip() and not HEADING.match(ls[i + 1]):
-            line, step = f"{token} {ls[i + 1].lstrip()}", 2
-        if m := re.match(r"\s*([a-z])\.\s+", line):
-            line = f"- ({m[1]} )" + line[m.end() :]
-        elif m := re.match(r"\s*\d+\.\s+", line):
-            line = "1. " + line[m.end() :]
-        out.append(line)
-        i += step
-    return "\n".join(out), header, footer, fixed
-
-
-def promote(text):
-    out, found = [], {"bab": 0, "pasal": 0, "menimbang": False, "mengingat": False, "penjelasan": False}
-    for line in rust_lines(text):
-        if m := re.fullmatch(r"\s*(Menimbang|Mengingat)\s*:\s*", line):
-            found[m[1].lower()] = True
-            line = f"## {m[1]}"
-        elif m := re.fullmatch(r"\s*BAB\s+([IVXLCDM]+)\b(.*)", line):
-            found["bab"] += 1
-            line = f"## BAB {m[1]}{m[2]}"
-        elif m := re.fullmatch(r"\s*Pasal\s+(\d+)\s*", line):
-            found["pasal"] += 1
-            line = f"## Pasal {m[1]}"
-        elif re.fullmatch(r"\s*PENJELASAN\s*", line):
-            found["penjelasan"] = True
-            line = "## PENJELASAN"
-        elif m := re.fullmatch(r"\s*([IVX]+)\.\s+([A-Z][^\n]+)", line):
-            line = f"### {m[1]}. {m[2]}"
-        out.append(line)
-    return "\n".join(out), found
-
-
-def metrics(raw, md):
-    chars = lambda s: sum(not c.isspace() for c in s)
-    leaks = lambda s: sum(bool(HEADERS[2].fullmatch(x) or whole(FOOTERS, x)) for x in rust_lines(s))
-    r, m = leaks(raw), leaks(md)
-    lone = sum(bool(re.fullmatch(r"\s*(?:[a-z]|\d+)\.\s*", x)) for x in rust_lines(md))
-    return (min(1.0, chars(md) / chars(raw)) if chars(raw) else 0.0, m / (r + m) if r + m else 0.0, len(re.findall(r"\(\s*\n\s*\d+\)", md)) + lone)
+from collections import Counter, namedtuple
+from itertools import accumulate, groupby
+from math import ceil
+
+from pagewright.functions import patterns as P
+
+Line = namedtuple("Line", "page first last text")
+Suppressed = namedtuple("Suppressed", "pages header footer overrun sample candidates")
+
+
+def rule(body: str, ignore_case: bool = False):
+    """A pattern of the engine for Python."""
+    return re.compile(re.sub(r"\\x\{([0-9a-fA-F]+)\}", lambda m: chr(int(m[1], 16)), body), re.I if ignore_case else 0)
+
+
+HEADER = [rule(x, True) for x in (P.PRESIDENT, P.MINISTRY, P.GAZETTE)]
+FOOTER = [rule(P.DASHED_NUMBER), rule(P.PAGE_WORD, True)]
+HEADING, NUMBER = rule(P.LEGAL_HEADING, True), rule(P.BARE_NUMBER_4)
+#: Classes of a line, from its text and from whether it is a repeated one; the first that fits holds.
+CLASSES = [
+    ("header", lambda text, again: fits(HEADER, text)),
+    ("footer", lambda text, again: fits(FOOTER, text)),
+    ("number", lambda text, again: again and fits([NUMBER], text)),
+    ("text", lambda text, again: fits([NUMBER], text)),
+    ("repeated", lambda text, again: again),
+    ("text", lambda text, again: True),
+]
+#: Headings: pattern, name, and what the line becomes.
+PROMOTED = [
+    (rule(P.PREAMBLE), None, r"## \1"),
+    (rule(P.CHAPTER), "bab", r"## BAB \1\2"),
+    (rule(P.ARTICLE), "pasal", r"## Pasal \1"),
+    (rule(P.ELUCIDATION), "penjelasan", "## PENJELASAN"),
+    (rule(P.ROMAN_TITLE), "subheading", r"### \1. \2"),
+]
+MARKS = [(rule(P.LONE_PAREN), r"(\1)"), (rule(P.LONE_NUMBER), r"\1."), (rule(P.LONE_LETTER), r"\1.")]
+ITEMS = [(rule(P.LETTER_ITEM), r"- (\1 )"), (rule(P.NUMBER_ITEM), "1. ")]
+
+
+def fits(patterns, line: str) -> bool:
+    return any(p.search(line) for p in patterns)
+
+
+def lines_of(text: str) -> list[str]:
+    """Line feeds end lines, and take a carriage return before them along; what follows the last one is a line if there is anything."""
+    return [x.removesuffix("\n").removesuffix("\r") if x.endswith("\n") else x for x in re.findall(r"[^\n]*\n|[^\n]+", text)]
+
+
+def normal(line: str) -> str:
+    return " ".join(re.split(r"\s+", line.strip()))
+
+
+def suppress(pages: list[str], keep: str | None = None) -> Suppressed:
+    flat = []
+    for n, page in enumerate(pages):
+        own = lines_of(page)
+        flat += [Line(n, k == 0, k + 1 == len(own), x) for k, x in enumerate(own)]
+    counted = [x for x in flat if x.text.strip() and not HEADING.search(x.text.strip())]
+    everywhere, above, below = (Counter(normal(x.text) for x in counted if test(x)) for test in (lambda x: True, lambda x: x.first, lambda x: x.last))
+    enough = max(1, ceil(3 * max(1, len(pages)) / 5))
+    often = {n for n, c in everywhere.items() if c >= enough and 2 * max(above[n], below[n]) >= c}
+    repeated = {n for n in often if 3 <= len(n.encode()) <= 120 and not HEADING.search(n)}
+
+    kinds = [next(k for k, test in CLASSES if test(x.text.rstrip(), normal(x.text) in repeated)) for x in flat]
+    drops = [k != "text" and not (keep and re.search(keep, x.text.rstrip())) for k, x in zip(kinds, flat)]
+    ranks = []
+    for _, own in groupby(zip(flat, drops), key=lambda x: x[0].page):
+        ranks += accumulate(d for _, d in own)
+    stay = [not d or r > 5 for d, r in zip(drops, ranks)]
+    kept = [[x.text.rstrip() for x, s in zip(flat, stay) if s and x.page == n] for n in range(len(pages))]
+    number_of = Counter(kinds)
+    return Suppressed(
+        ["\n".join(x) for x in kept], number_of["header"], number_of["footer"] + number_of["number"], sum(d and r > 5 for d, r in zip(drops, ranks)),
+        [x.text.strip() for x, d in zip(flat, drops) if d][:5], repeated,
+    )
+
+
+def cleanup(text: str) -> tuple[str, int, int, int]:
+    whole, fixed = rule(P.BROKEN_WORD).subn(r"\1\2", text)
+    parts = {"header": [], "footer": [], "text": []}
+    for x in lines_of(whole):
+        parts["header" if fits(HEADER, x) else "footer" if fits([*FOOTER, rule(P.BARE_NUMBER_3)], x) else "text"].append(x)
+    # A line goes on behind one that ends in an ASCII letter or digit and is no heading.
+    goes_on = [False, *(bool(re.search(r"[0-9A-Za-z]\s*\Z", x)) and not HEADING.search(x) for x in parts["text"])]
+    wrapped = "".join(" " + x.lstrip() if on else "\n" + x for on, x in zip(goes_on, parts["text"]))[1:]
+
+    rows = lines_of(wrapped)
+    marks = [next((m.expand(to) for p, to in MARKS if (m := p.search(x))), None) for x in rows]
+    able = [bool(mark and after and after.strip() and not HEADING.search(after)) for mark, after in zip(marks, [*rows[1:], None])]
+    takes = set()  # every other one of a run, from its first
+    for can, run in groupby(range(len(rows)), key=lambda k: able[k]):
+        takes.update(list(run)[::2] if can else [])
+    merged = [f"{marks[k]} {rows[k + 1].lstrip()}" if k in takes else x for k, x in enumerate(rows) if k - 1 not in takes]
+    listed = [next((p.sub(to, x, count=1) for p, to in ITEMS if p.search(x)), x) for x in merged]
+    return "\n".join(listed), len(parts["header"]), len(parts["footer"]), fixed
+
+
+def promote(text: str) -> tuple[str, dict]:
+    out = [next(((name or m[1].lower(), m.expand(to)) for p, name, to in PROMOTED if (m := p.search(x))), ("text", x)) for x in lines_of(text)]
+    n = Counter(name for name, _ in out)
+    return "\n".join(x for _, x in out), {"bab": n["bab"], "pasal": n["pasal"], **{k: n[k] > 0 for k in ("menimbang", "mengingat", "penjelasan")}}
+
+
+def metrics(raw: str, md: str) -> tuple[float, float, int]:
+    visible = lambda s: len("".join(s.split()))
+    leaks = lambda s: sum(fits([HEADER[2], *FOOTER], x) for x in lines_of(s))
+    both, lone = leaks(raw) + leaks(md), sum(fits([rule(P.LONE_LETTER), rule(P.ANY_LONE_NUMBER)], x) for x in lines_of(md))
+    return (min(1.0, visible(md) / visible(raw)) if visible(raw) else 0.0, leaks(md) / both if both else 0.0, len(rule(P.SPLIT_PAREN).findall(md)) + lone)

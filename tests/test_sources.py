@@ -69,11 +69,13 @@ def test_clashing_slugs_equal_the_loop_without_a_cap(spark, monkeypatch):
     # One hot name with more rows than the driver once took, and a few numbered ones among them.
     hot = [(1_000_000 + 2 * i, "doc") for i in range(100_100)] + [(1_050_001, "doc-1"), (999_999, "doc-3"), (1_100_001, "doc-90000"), (1_190_001, "doc-90001"), (1_120_001, "doc-200000")]
     frame = spark.createDataFrame(rows + hot, "k int, n string").repartition(5)
-    with monkeypatch.context() as m:
-        m.setattr(DataFrame, "collect", lambda df: pytest.fail("rows are gathered"))
-        unique = with_unique_slugs(frame, F.col("n"), ["k"])
-    got = {r.k: r.doc_id for r in unique.collect()}
-    assert got == loop(rows + hot) and len(set(got.values())) == len(rows) + len(hot)
+    want = loop(rows + hot)
+    for window_rows in (1_000_000, 1000):
+        with monkeypatch.context() as m:
+            m.setattr(DataFrame, "collect", lambda df: pytest.fail("rows are gathered"))
+            unique = with_unique_slugs(frame, F.col("n"), ["k"], window_rows)
+        got = {r.k: r.doc_id for r in unique.collect()}
+        assert got == want and len(set(got.values())) == len(rows) + len(hot)
 
 
 
