@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.sources.shared import materialize, shared_dir  # noqa: F401
+from pagewright.sources.shared import BROADCAST_BYTES, broadcast_if, materialize, shared_dir  # noqa: F401
 
-#: A side is broadcast only when its measured size stays below this many bytes.
-BROADCAST_BYTES = 8 << 20
 #: Rows of an Arrow batch, unless the session asks for another number than Spark's own: texts are long.
 BATCH_ROWS, SPARK_BATCH_ROWS = "2000", "10000"
 
@@ -66,14 +64,6 @@ def map_batches(df: DataFrame, run, schema) -> DataFrame:
     return df.mapInArrow(_tidy(run), schema)
 
 
-def broadcast_if(df: DataFrame, n_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df``, to be broadcast if ``n_bytes``, which the caller measured, is within ``limit``, else sort-merged.
-
-    The second hint keeps Spark from broadcasting on its own estimate, which ignores what explode adds.
-    """
-    return F.broadcast(df) if n_bytes <= limit else df.hint("merge")
-
-
 def free_name(name: str, columns) -> str:
     """``name``, or what it takes behind it to differ from all ``columns`` (Spark ignores case)."""
     taken = {c.lower() for c in columns}

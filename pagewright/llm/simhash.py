@@ -9,9 +9,10 @@ pair of the threshold meets at an anchor. (Anchors over all 64 bits at once are
 small radius has too many anchors in range, one of large radius has too few in all.)
 
 Only different fingerprints are compared. An anchor's members are compared with those not yet linked,
-so n members give n - 1 links at most. Anchors with more members than a block are cut into blocks, and
-every pair of blocks is compared by a task of its own; no anchor is capped. Links join into components
-by rounds of joins (see ``components``).
+so n members give n - 1 links at most. The members of an anchor with more than a block are dealt again, by the
+pieces of their other half: of t + 1 pieces, two within t bits have one in common. What is still larger
+is cut into blocks, and every pair of blocks is compared by a task of its own; no anchor is capped. Links
+join into components by rounds of joins (see ``components``).
 
 Defined results: a null or empty text, or one of blanks, has fingerprint zero, which links like any
 other. Repeated rows share a fingerprint. Null ids keep a row each and are ignored in the smallest id
@@ -258,18 +259,42 @@ def _compare_blocks(threshold: int):
     return run
 
 
-def near_links(spark: SparkSession, distinct: DataFrame, threshold: int, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) between different fingerprints, enough to keep components; ``distinct`` has fp once each."""
-    dealt = map_batches(distinct.select("fp"), _to_anchors(threshold), "anchor bigint, fp bigint")
+def _compared(spark: SparkSession, dealt: DataFrame, threshold: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """Links within each anchor's members, and the members of anchors that have more than ``block``."""
     dealt = dealt.repartition("anchor").sortWithinPartitions("anchor")
     found = materialize(spark, map_batches(dealt, _compare(threshold, block), "a bigint, b bigint, anchor bigint"), "simhash-links")
-    links = found.where("b is not null").select("a", "b")
-    over = found.where("b is null").select("anchor", F.col("a").alias("fp"))
+    return found.where("b is not null").select("a", "b"), found.where("b is null").select("anchor", F.col("a").alias("fp"))
+
+
+def in_pieces(over: DataFrame, threshold: int) -> DataFrame:
+    """Members of an anchor of one half, dealt by the pieces of the other half: two within ``threshold`` bits agree in one of threshold + 1.
+
+    An anchor of the result stands for (anchor, piece, bits of the piece), by hash; two that share it are compared in vain.
+    """
+    other = F.when(F.shiftright("anchor", 32) == 0, F.shiftrightunsigned("fp", 32)).otherwise(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)))
+    ends = [32 * k // (threshold + 1) for k in range(threshold + 2)]
+    bits = [F.shiftright(other, a).bitwiseAND(F.lit((1 << (b - a)) - 1).cast("bigint")) for a, b in zip(ends, ends[1:], strict=False)]
+    return over.select(F.explode(F.array(*(F.xxhash64("anchor", F.lit(k), x) for k, x in enumerate(bits)))).alias("anchor"), "fp")
+
+
+def in_blocks(over: DataFrame, block: int) -> DataFrame:
+    """Members of an anchor dealt to pairs of blocks (low, high), so that any two meet."""
     sizes = over.groupBy("anchor").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
     cut = over.join(sizes.hint("merge"), "anchor").withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cut = cut.select("anchor", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "fp")
-    cut = cut.repartition("anchor", "low", "high").sortWithinPartitions("anchor", "low", "high")
+    return cut.select("anchor", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "fp")
+
+
+def near_links(spark: SparkSession, distinct: DataFrame, threshold: int, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between different fingerprints, enough to keep components; ``distinct`` has fp once each."""
+    links, over = _compared(spark, map_batches(distinct.select("fp"), _to_anchors(threshold), "anchor bigint, fp bigint"), threshold, block)
+    if over.isEmpty():
+        return links
+    more, over = _compared(spark, in_pieces(over, threshold), threshold, block)
+    links = links.unionByName(more)
+    if over.isEmpty():
+        return links
+    cut = in_blocks(over, block).repartition("anchor", "low", "high").sortWithinPartitions("anchor", "low", "high")
     return links.unionByName(map_batches(cut, _compare_blocks(threshold), "a bigint, b bigint"))
 
 

@@ -78,6 +78,27 @@ def test_links_with_clusters_and_blocks(spark):
         assert len({(a, b) for a, b in zip(label, want)}) == len(set(label)) == len(set(want))
 
 
+def test_a_hot_anchor_is_dealt_by_its_other_half(spark, monkeypatch):
+    """Fingerprints that share a half meet at all of its anchors; pieces of the other half keep every link, without pairs of blocks."""
+    rng, fps = random.Random(12), set()
+    for _ in range(300):
+        x = (rng.getrandbits(32) << 32) | 0x12345678
+        fps.add(x)
+        for _ in range(rng.choice((0, 0, 1, 3))):
+            y = x
+            for bit in rng.sample(range(64), rng.randint(1, 4)):
+                y ^= 1 << bit
+            fps.add(y)
+    fps = sorted(fps)
+    swapped = [((f & 0xFFFFFFFF) << 32) | f >> 32 for f in fps]
+    monkeypatch.setattr(simhash, "in_blocks", lambda over, block: 1 / 0)
+    for own in (fps, swapped):
+        links = simhash.near_links(spark, spark.createDataFrame([(signed(f),) for f in own], "fp long").repartition(3), 4, 100)
+        root = {r.node: r.root for r in connected_components(spark, links).collect()}
+        label, want = [root.get(signed(f), signed(f)) for f in own], brute_components(own, 4)
+        assert len(set(zip(label, want, strict=True))) == len(set(label)) == len(set(want)) < len(own)
+
+
 def test_long_chain_and_hub(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 400)] + [(None, 3), (7, 7), (1, 0)]
     root = {r.node: r.root for r in connected_components(spark, spark.createDataFrame(edges, "a long, b long")).collect()}
