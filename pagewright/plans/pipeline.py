@@ -52,6 +52,38 @@ def _leaks(lines):
     return F.size(F.filter(lines, leak)).cast("bigint")
 
 
+NO_SUPPRESSION = ("suppressed_header", "suppressed_footer", "suppressor_overrun")
+
+
+def _merged(pages: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """doc_id, page_count, text, with the suppressor's counters and sample; zeros and an empty sample without one."""
+    if cfg.suppressor is not None:
+        return _suppressed(pages, cfg.suppressor, cfg.rules)
+    rows = merge_pages(pages, F.count("page_idx").cast("int").alias("page_count"))
+    nothing = {c: F.lit(0).cast("bigint") for c in NO_SUPPRESSION}
+    return rows.withColumns({**nothing, "removed_lines_sample": F.array().cast("array<string>")})
+
+
+def _with_markdown(rows: DataFrame) -> DataFrame:
+    """``rows`` (with lines) plus md_lines, markdown, and the numbers and flags of its headings."""
+
+    def classified(line):
+        return F.struct(line.alias("line"), structure.kind_of(line).alias("kind"))
+
+    def number_of(kind: str):
+        return F.size(F.filter("lines", lambda x: x["kind"] == kind)).cast("bigint")
+
+    rows = rows.withColumn("lines", F.transform("lines", classified))
+    rows = rows.withColumn("md_lines", F.transform("lines", lambda x: structure.markdown_of(x["line"], x["kind"])))
+    counts = {kind: number_of(kind) for kind in ("bab", "pasal")}
+    flags = {kind: number_of(kind) > 0 for kind in ("menimbang", "mengingat", "penjelasan")}
+    return rows.withColumns({"markdown": F.array_join("md_lines", "\n"), **counts, **flags})
+
+
+def _lone_mark(line):
+    return P.matches(line, P.LONE_LETTER) | P.matches(line, P.ANY_LONE_NUMBER)
+
+
 def structured(pages: DataFrame, cfg: PipelineConfig = PipelineConfig(), overrides: DataFrame | None = None) -> DataFrame:
     """One row per document: pages, raw text, Markdown, headings found, counters and metrics.
 
@@ -59,30 +91,22 @@ def structured(pages: DataFrame, cfg: PipelineConfig = PipelineConfig(), overrid
     """
     if overrides is not None:
         pages = apply_overrides(pages, overrides)
-    if cfg.suppressor is None:
-        counters = ("suppressed_header", "suppressed_footer", "suppressor_overrun")
-        merged = merge_pages(pages, F.count("page_idx").cast("int").alias("page_count")).withColumns({**{c: F.lit(0).cast("bigint") for c in counters}, "removed_lines_sample": F.array().cast("array<string>")})
-    else:
-        merged = _suppressed(pages, cfg.suppressor, cfg.rules)
-    rows = merged.withColumns({"raw_text": F.col("text"), "__raw_leaks": _leaks(X.lines(F.col("text"))), "__raw_chars": X.visible_length(F.col("text"))})
-    rows = cleanup.clean_whole(rows, cfg.rules)
-    rows = rows.withColumn("lines", F.transform("lines", lambda x: F.struct(x.alias("line"), structure.kind_of(x).alias("kind"))))
-    rows = rows.withColumn("__md", F.transform("lines", lambda x: structure.markdown_of(x["line"], x["kind"])))
-    of = lambda k: F.size(F.filter("lines", lambda x: x["kind"] == k)).cast("bigint")
-    rows = rows.withColumns({
-        "markdown": F.array_join("__md", "\n"),
-        **{k: of(k) for k in ("bab", "pasal")}, **{k: of(k) > 0 for k in ("menimbang", "mengingat", "penjelasan")},
-    })
+    text = F.col("text")
+    rows = _merged(pages, cfg).withColumns({"raw_text": text, "raw_leaks": _leaks(X.lines(text)), "raw_chars": X.visible_length(text)})
+    rows = _with_markdown(cleanup.clean_whole(rows, cfg.rules))
     # The Markdown's own lines: without an empty last one.
-    own = F.when(F.try_element_at("__md", F.lit(-1)) == "", F.slice("__md", F.lit(1), F.size("__md") - 1)).otherwise(F.col("__md"))
-    lone = lambda x: P.matches(x, P.LONE_LETTER) | P.matches(x, P.ANY_LONE_NUMBER)
-    rows = rows.withColumns({"__leaks": _leaks(own), "__lone": F.size(F.filter(own, lone)), "__chars": X.visible_length(F.col("markdown"))})
+    md_lines = F.col("md_lines")
+    own = F.when(F.try_element_at(md_lines, F.lit(-1)) == "", F.slice(md_lines, F.lit(1), F.size(md_lines) - 1)).otherwise(md_lines)
+    rows = rows.withColumns({"md_leaks": _leaks(own), "lone_marks": F.size(F.filter(own, _lone_mark)), "md_chars": X.visible_length(F.col("markdown"))})
+    leaks = F.col("raw_leaks") + F.col("md_leaks")
     return rows.select(
         "doc_id", "page_count", "raw_text", "markdown", "bab", "pasal", "menimbang", "mengingat", "penjelasan", "hyphens_fixed",
-        (F.col("suppressed_header") + F.col("removed_header")).alias("removed_header"), (F.col("suppressed_footer") + F.col("removed_footer")).alias("removed_footer"), "suppressor_overrun", "removed_lines_sample",
-        F.when(F.col("__raw_chars") > 0, F.least(F.lit(1.0), F.col("__chars") / F.col("__raw_chars"))).otherwise(0.0).alias("character_coverage"),
-        F.when(F.col("__raw_leaks") + F.col("__leaks") > 0, F.col("__leaks") / (F.col("__raw_leaks") + F.col("__leaks"))).otherwise(0.0).alias("leak_rate"),
-        (F.regexp_count("markdown", F.lit(P.java(P.SPLIT_PAREN))) + F.col("__lone")).cast("bigint").alias("split_violations"),
+        (F.col("suppressed_header") + F.col("removed_header")).alias("removed_header"),
+        (F.col("suppressed_footer") + F.col("removed_footer")).alias("removed_footer"),
+        "suppressor_overrun", "removed_lines_sample",
+        F.when(F.col("raw_chars") > 0, F.least(F.lit(1.0), F.col("md_chars") / F.col("raw_chars"))).otherwise(0.0).alias("character_coverage"),
+        F.when(leaks > 0, F.col("md_leaks") / leaks).otherwise(0.0).alias("leak_rate"),
+        (F.regexp_count("markdown", F.lit(P.java(P.SPLIT_PAREN))) + F.col("lone_marks")).cast("bigint").alias("split_violations"),
     )
 
 
