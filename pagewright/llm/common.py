@@ -48,6 +48,9 @@ def warm(kind: str, key, make):
 
 def _tidy(run):
     def tidied(batches):
+        import pyarrow as pa
+
+        pa.set_memory_pool(pa.system_memory_pool())  # Arrow's own pools keep what they once had
         try:
             yield from run(batches)
         finally:
@@ -77,7 +80,7 @@ def ascii_lower(col):
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def slices(batch, column: str, limit: int = 2 << 20):
+def slices(batch, column: str, limit: int = 1 << 20):
     """Cut a record batch so that no slice holds more than ``limit`` bytes of a text column, but one row at least."""
     import numpy as np
     import pyarrow.compute as pc

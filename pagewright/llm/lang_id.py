@@ -26,11 +26,11 @@ from pagewright.llm.common import broadcast_if, map_batches, slices, warm
 DIMENSIONS = 1024
 SEED = 7
 #: Characters of one numpy pass over a batch.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 #: Up to this many different letters, trigrams are counted in a table; above, by sorting.
 TABLE_LETTERS = 160
 #: Different trigrams that are bound at once, and prototypes that a batch is compared with at once: a vector each.
-GRAMS, PROTOTYPES = 4096, 2048
+GRAMS, PROTOTYPES = 2048, 2048
 #: Texts whose counts are one matrix.
 TEXTS = 512
 #: Languages whose sums a task holds before it hands them on.

@@ -22,7 +22,7 @@ from pagewright.llm.common import broadcast_if, map_batches, materialize, slices
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 #: Word pieces that a worker remembers before it starts afresh.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 150_000
 
 
 class WordTokenizer:
