@@ -27,55 +27,68 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagewright.llm import xxh64
 from pagewright.llm.common import map_batches, materialize, slices, warm
 from pagewright.llm.components import connected_components
 
 SEED = 42
 #: Members of an anchor that one task compares; more are compared block by block.
 BLOCK = 4096
+#: Hashes, and texts, whose bits are counted at once.
+BITS_ROWS, BITS_TEXTS = 1 << 16, 256
 
 
-def fingerprint_bytes(text: bytes, width: int):
-    """The shingles' hashes of one text, as unsigned 64-bit numbers."""
+def _bytes_of(texts):
+    """The bytes of an Arrow string array without nulls, A-Z in lower case and ASCII white space as blanks, and the size of each text."""
     import numpy as np
-    from xxhash import xxh64_intdigest
 
-    words = text.lower().split()  # bytes: lowers A-Z and splits at ASCII white space alone
-    if not words:
-        return np.empty(0, dtype="<u8")
-    joined = b" ".join(words)
-    if len(words) <= width:
-        return np.array([xxh64_intdigest(joined, SEED)], dtype="<u8")
-    ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)
-    starts = np.concatenate([[0], ends[:-width]])
-    n = len(words) - width + 1
-    return np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts.tolist(), (ends[width - 1 :] - 1).tolist(), strict=True)), dtype="<u8", count=n)
+    n = len(texts)
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + n + 1] if n else np.zeros(1, dtype=np.int32)
+    data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]
+    to = np.arange(256, dtype=np.uint8)
+    to[65:91] += 32
+    to[9:14] = 32
+    return to[data], np.diff(offsets).astype(np.int64)
 
 
-def majority(hashes) -> int:
-    """The 64-bit number whose bits are set in over half of ``hashes``, as a signed integer.
-
-    Bytes are counted by place and value; a table then turns the 2,048 counts into counts of bits.
-    """
-    import numpy as np
-
-    if not len(hashes):
-        return 0
-    places = hashes.view(np.uint8).reshape(-1, 8) + (np.arange(8, dtype=np.int64) * 256)
-    counts = np.bincount(places.ravel(), minlength=2048).reshape(8, 256) @ _bits()
-    return int(np.packbits((2 * counts > len(hashes)).ravel(), bitorder="little").view("<i8")[0])
-
-
-def _bits():
+def fingerprints_of(texts, width: int):
+    """The fingerprint of each text, as a signed integer: bits that are set in over half of its shingles' hashes."""
     import numpy as np
 
-    global _BITS
-    if _BITS is None:
-        _BITS = np.unpackbits(np.arange(256, dtype=np.uint8).reshape(-1, 1), axis=1, bitorder="little").astype(np.int64)
-    return _BITS
-
-
-_BITS = None
+    n = len(texts)
+    data, sizes = _bytes_of(texts)
+    # A blank ends each text, and each word; other white space goes.
+    apart = np.full(len(data) + n, 32, dtype=np.uint8)
+    of_byte = np.repeat(np.arange(n), sizes)
+    apart[np.arange(len(data)) + of_byte] = data
+    inside = apart != 32
+    first = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
+    ends = np.flatnonzero(inside & ~np.concatenate([inside[1:], [False]])) + 1
+    keep = inside.copy()
+    keep[ends] = True
+    joined = apart[keep]
+    long = ends - first
+    at = np.cumsum(long + 1) - (long + 1)
+    text_of = np.searchsorted(np.cumsum(sizes + 1), first, side="right")
+    words = np.bincount(text_of, minlength=n)
+    shingles = np.where(words > 0, np.maximum(1, words - width + 1), 0)
+
+    owner = np.repeat(np.arange(n), shingles)
+    head = np.cumsum(words) - words
+    a = head[owner] + np.arange(len(owner)) - (np.cumsum(shingles) - shingles)[owner]
+    b = np.minimum(a + width, (head + words)[owner]) - 1
+    hashed = xxh64.hashes(joined, at[a], at[b] + long[b] - at[a], SEED)
+    # Bytes are counted by text, place and value; a table then turns these counts into counts of bits.
+    counts, lo = np.zeros((n, 64), dtype=np.int64), 0
+    table = np.unpackbits(np.arange(256, dtype=np.uint8).reshape(-1, 1), axis=1, bitorder="little").astype(np.float64)
+    while lo < len(owner):
+        base = owner[lo]
+        hi = min(lo + BITS_ROWS, int(np.searchsorted(owner, base + BITS_TEXTS)))
+        rows = int(owner[hi - 1] - base) + 1
+        values = hashed[lo:hi].astype("<u8").view(np.uint8).reshape(-1, 8) + np.arange(8) * 256 + (owner[lo:hi, None] - base) * 2048
+        counts[base : base + rows] += (np.bincount(values.ravel(), minlength=rows * 2048).reshape(rows, 8, 256) @ table).reshape(rows, 64).astype(np.int64)
+        lo = hi
+    return np.packbits(2 * counts > shingles[:, None], axis=1, bitorder="little").view("<i8").ravel()
 
 
 def _fingerprints(width: int):
@@ -83,11 +96,11 @@ def _fingerprints(width: int):
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        warm("simhash", width, _bits)  # drops what other operators left in the worker
+        warm("simhash", width, dict)  # drops what other operators left in the worker
         for whole in batches:
             for batch in slices(whole, "text"):
-                texts = pc.fill_null(batch.column("text"), "").cast(pa.binary()).to_pylist()
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([majority(fingerprint_bytes(t, width)) for t in texts], pa.int64())], names=["doc_id", "fp"])
+                fps = fingerprints_of(pc.fill_null(batch.column("text"), ""), width)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
 
     return run
 

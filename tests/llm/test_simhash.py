@@ -36,6 +36,34 @@ def signed(x):
     return x - (1 << 64) if x >> 63 else x
 
 
+def test_many_hashes_equal_the_library():
+    from pagewright.llm import xxh64
+
+    rng = np.random.default_rng(1)
+    data = rng.integers(0, 256, 60_000, dtype=np.uint8)
+    lengths = np.concatenate([np.arange(0, 400), rng.integers(0, 100, 3000), [4095, 4096, 4097, 20_000]])
+    starts = np.array([rng.integers(0, len(data) - n + 1) for n in lengths])
+    starts[:3], lengths[:3] = (len(data), len(data) - 3, len(data) - 33), (0, 3, 33)
+    for seed in (0, 42, 2**64 - 1):
+        want = [xxhash.xxh64_intdigest(data[a : a + n].tobytes(), seed) for a, n in zip(starts, lengths, strict=True)]
+        assert xxh64.hashes(data, starts, lengths, seed).tolist() == want
+    assert len(xxh64.hashes(data[:0], starts[:0], lengths[:0], 42)) == 0
+
+
+def test_fingerprints_of_odd_texts(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    texts = ["", " ", "a", "A b", "a b c d", " a\tb\x0bc\x0cd\re\n", "É À\x85 b\xa0c d e", "x" * 9000 + " y", "a b c d " * 3000, "\x1c\x1d w"]
+    texts += ["".join(rng.choice("abAB é\n\t0") for _ in range(rng.randint(0, 300))) for _ in range(300)]
+    want = [signed(brute_fp(t)) for t in texts]
+    whole = pa.array(["cut off", *texts])
+    assert simhash.fingerprints_of(whole[1:], 4).tolist() == want
+    monkeypatch.setattr(simhash, "BITS_ROWS", 7)
+    assert simhash.fingerprints_of(pa.array(texts), 4).tolist() == want
+    assert simhash.fingerprints_of(pa.array([], pa.string()), 4).tolist() == []
+
+
 def test_whole_table(spark):
     sf = "/root/testdata/sf0.01"
     docs = sorted(tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
