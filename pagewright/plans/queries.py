@@ -13,7 +13,7 @@ from pagewright.plans.corpus import legal_from, legal_pages, pages_of, single_pa
 from pagewright.plans.pipeline import document_meta, structured
 from pagewright.schema import OcrConfig, PipelineConfig, SuppressorConfig
 from pagewright.sources.documents import enumerate_files, extract_pages, split_form_feeds
-from pagewright.sources.emit import meta_json, read_meta, write_table
+from pagewright.sources.emit import file_name, meta_json, read_meta, write_files, write_table
 from pagewright.sources.shared import new_path
 from pagewright.streaming.documents import documents_of_batch, merged_batches, read_pages
 
@@ -344,14 +344,13 @@ def extracted_files(spark, sf_dir):
     blank = F.col("doc_id").cast("long") % 9 == 0
     path = new_path(spark, "files")
     named = joined.select(F.concat(F.lit("File No. "), "doc_id").alias("name"), F.when(blank, " \f").otherwise(F.col("text")).alias("text"))
-    named.write.partitionBy("name").option("lineSep", "\x00").text(path)
+    write_files(named, path)
     files = enumerate_files(spark, path, "*.txt")
-    # Part files have names of their own; the folder's name stands for the file's.
-    folder = F.regexp_extract(F.expr("url_decode(path)"), "name=([^/]*)/", 1)
-    files = files.select(slugs.slugify(folder).alias("doc_id"), "content")
+    # In some stores part files have names of their own; the name that was written stands for the file's.
+    files = files.select(slugs.slugify(file_name(F.col("path"))).alias("doc_id"), "content")
 
     def cut(content: bytes) -> list[str]:
-        parts = content.decode("utf-8", "replace").rstrip("\x00").split("\f")
+        parts = content.decode("utf-8", "replace").removesuffix("\x00").split("\f")
         while parts and not parts[-1].strip():
             parts.pop()
         return parts

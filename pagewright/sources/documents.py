@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import text as X
 from pagewright.operators.slugs import base_name, with_unique_slugs
-from pagewright.sources.shared import BROADCAST_BYTES, materialize
+from pagewright.sources.shared import BROADCAST_BYTES, materialize, partitions_for
 
 EXTRACTED = "doc_id string, page_idx int, text string, error string, started_ms bigint, finished_ms bigint"
 
@@ -35,7 +35,9 @@ def enumerate_files(spark: SparkSession, path: str, pattern: str = "*.pdf", modi
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
     files = reader.load(path)
-    named = materialize(spark, with_unique_slugs(files.select("path"), base_name(F.col("path")), ["path"]), "files")
+    # A scan opens a task for every few files, so paths are scanned once, and written by fewer tasks than that.
+    paths = materialize(spark, files.select("path").repartition(partitions_for(files), "path"), "paths")
+    named = materialize(spark, with_unique_slugs(paths, base_name(F.col("path")), ["path"]), "files")
     n, n_bytes = named.agg(F.count("*"), F.sum(2 * F.octet_length("path") + 64)).first()
     if not n:
         raise NoFilesFound(GUIDANCE.format(path=path))

@@ -74,6 +74,13 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def local_path(spark: SparkSession, path: str) -> str | None:
+    """``path`` as the operating system names it, if it lies in a file system that is mounted; None in other stores."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    scheme = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri().getScheme()
+    return at.toUri().getPath() if scheme == "file" else None
+
+
 def broadcast_if(df: DataFrame, n_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``df``, to be broadcast if ``n_bytes``, which the caller measured, is within ``limit``, else sort-merged.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pagewright.operators import ocr, report
 from pagewright.operators.slugs import slugify, with_unique_slugs
 from pagewright.plans.pipeline import document_meta, structured
+from pagewright.plans.queries import CATALOGUE
 from pagewright.schema import OcrConfig, PipelineConfig
 from pagewright.sources import config, documents, emit
 from pagewright.streaming import documents as streaming
@@ -232,3 +233,28 @@ def test_a_document_that_stays_incomplete_is_handed_on(spark, tmp_path):
     finally:
         q.stop()
     assert {tuple(r) for r in spark.sql("SELECT * FROM late_documents").collect()} == {("a", 0, "p", False), ("b", 0, "q", True)}
+
+
+def test_files_of_a_table_lie_in_few_folders_and_keep_names_and_bytes(spark, tmp_path):
+    # With a folder for each file, driver and scheduler worked for each document: 300,000 files took over 20 minutes.
+    rows = {f"File No. {i}": f"text {i}\f" for i in range(600)} | {"a/b": "x\x00", "._c": "", "d +%41=é": "\n", "e.txt": "ü"}
+    df = spark.createDataFrame(list(rows.items()), "name string, text string").repartition(5)
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.store.link./here", f"file://{tmp_path}")
+    for folder in (f"{tmp_path}/mounted", "viewfs://store/here/other"):
+        emit.write_files(df, folder)
+        files = documents.enumerate_files(spark, folder, "*.txt")
+        got = [(r.name, r.content.decode()) for r in files.select(emit.file_name(F.col("path")).alias("name"), "content").collect()]
+        assert sorted(got) == sorted((k, f"{v}\x00") for k, v in rows.items())
+    folders = [d for d, _, names in os.walk(tmp_path / "mounted") if names]
+    assert 1 < len(folders) <= emit.FOLDERS and not [n for d in folders for n in os.listdir(d) if not n.endswith(".txt")]
+
+
+def test_extracted_files_at_more_documents_than_folders(spark, tmp_path, monkeypatch):
+    rows = [(i, t, "user", " " if i == 5 else f"page {i} {t}") for i in range(300) for t in range(2)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    wanted = {(f"file-no-{i}", None, None) for i in range(300) if i % 9 == 0 or i == 5} | {(f"file-no-{i}", t, x) for i, t, _, x in rows if i % 9 and i != 5}
+    monkeypatch.setattr("pagewright.plans.queries.new_path", lambda spark, label: f"{tmp_path}/{label}")
+    got = CATALOGUE["extracted_files"](spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.page_idx, r.text) for r in got} == wanted and len(got) == len(wanted) and not any(r.error for r in got)
+    folders = {os.path.dirname(p) for p in map(str, (tmp_path / "files").rglob("*.txt"))}
+    assert len(folders) <= emit.FOLDERS
