@@ -14,7 +14,7 @@ from pagewright.plans.pipeline import document_meta, structured
 from pagewright.schema import OcrConfig, PipelineConfig, SuppressorConfig
 from pagewright.sources.documents import enumerate_files, extract_pages, split_form_feeds
 from pagewright.sources.emit import file_name, meta_json, read_meta, write_files, write_table
-from pagewright.sources.shared import new_path
+from pagewright.sources.shared import materialize, new_path
 from pagewright.streaming.documents import documents_of_batch, merged_batches, read_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -274,8 +274,9 @@ def idempotency(spark, sf_dir):
     """Two runs over pages dealt in two ways, written as tables and compared by Markdown, metadata and fingerprint; with the digest of the first."""
     pages, runs = legal_pages(spark, sf_dir), []
     for dealt in (pages, pages.repartition(7, "page_idx")):
-        docs = structured(dealt)
-        out = meta_json(document_meta(dealt)).join(docs.select("doc_id", "markdown"), "doc_id")
+        # Written once a run: metadata and Markdown would each structure the pages anew.
+        docs = materialize(spark, structured(dealt).drop("raw_text"), "structured")
+        out = meta_json(document_meta(dealt, docs=docs)).join(docs.select("doc_id", "markdown"), "doc_id")
         path = new_path(spark, "run")
         write_table(out, path)
         runs.append(spark.read.parquet(path).select("doc_id", F.sha2(F.concat_ws("\n", "markdown", "meta_json"), 256).alias("digest"), F.sha2("markdown", 256).alias("markdown_sha256")))

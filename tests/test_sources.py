@@ -258,3 +258,19 @@ def test_extracted_files_at_more_documents_than_folders(spark, tmp_path, monkeyp
     assert {(r.doc_id, r.page_idx, r.text) for r in got} == wanted and len(got) == len(wanted) and not any(r.error for r in got)
     folders = {os.path.dirname(p) for p in map(str, (tmp_path / "files").rglob("*.txt"))}
     assert len(folders) <= emit.FOLDERS
+
+
+def test_idempotency_structures_the_pages_of_a_run_once(spark, tmp_path, monkeypatch):
+    rows = [(i, t, "user", f"page {i} of ti-\ntle\nBAB I\n- {t} -") for i in range(20) for t in range(3)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    plans = []
+
+    def write(df, path, mode="overwrite"):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        emit.write_table(df, path, mode)
+
+    monkeypatch.setattr("pagewright.plans.queries.write_table", write)
+    got = CATALOGUE["idempotency"](spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in got} == {str(i) for i in range(20)} and len(got) == 20 and all(r.equal for r in got)
+    # What is written joins finished documents; before, its plan made lines of the pages twice.
+    assert len(plans) == 2 and not any("posexplode" in p or "Window" in p for p in plans)
