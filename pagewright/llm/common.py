@@ -9,6 +9,8 @@ from pagewright.sources.shared import BROADCAST_BYTES, broadcast_if, materialize
 
 #: Rows of an Arrow batch, unless the session asks for another number than Spark's own: texts are long.
 BATCH_ROWS, SPARK_BATCH_ROWS = "2000", "10000"
+#: Bytes of an Arrow batch, likewise; a little below a slice, so that most batches are one.
+BATCH_BYTES, SPARK_BATCH_BYTES = "960k", "67108864b"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,12 +63,21 @@ def _tidy(run):
 
 def map_batches(df: DataFrame, run, schema) -> DataFrame:
     """``mapInArrow`` in batches that suit texts; workers release memory behind each task."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if df.sparkSession.conf.get(key, SPARK_BATCH_ROWS) == SPARK_BATCH_ROWS:
-        df.sparkSession.conf.set(key, BATCH_ROWS)
+    conf = df.sparkSession.conf
+    for name, own, of_spark in (("Records", BATCH_ROWS, SPARK_BATCH_ROWS), ("Bytes", BATCH_BYTES, SPARK_BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.max{name}PerBatch"
+        if conf.get(key, of_spark) == of_spark:
+            conf.set(key, own)
     return df.mapInArrow(_tidy(run), schema)
 
 
+def local_table(spark: SparkSession, **columns) -> DataFrame:
+    """Arrow arrays as a table. Spark makes tables of Python rows in workers of another kind, which stay beside the operators'."""
+    import pyarrow as pa
+
+    return spark.createDataFrame(pa.table(columns))
+
+
 def free_name(name: str, columns) -> str:
     """``name``, or what it takes behind it to differ from all ``columns`` (Spark ignores case)."""
     taken = {c.lower() for c in columns}

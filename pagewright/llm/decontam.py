@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from pagewright.llm.common import broadcast_if, map_batches, materialize, slices, warm
+from pagewright.llm.common import broadcast_if, local_table, map_batches, materialize, slices, warm
 
 K1, B = 1.2, 0.75
 POSTING_BLOCK = 16
@@ -343,6 +343,8 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, thres
     benchmark, so that their number changes no result. Each is a pass of its own over the texts, which writes what it
     finds: a worker holds one index at a time, and the driver one part of the items.
     """
+    import pyarrow as pa
+
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where("item_id is not null and text is not null")
     n_bytes = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
     rows = docs.drop("item_ids").withColumn("text", F.col("text").cast("string"))
@@ -356,7 +358,7 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, thres
     counted = materialize(spark, counted.groupBy("term").agg(F.count("*").alias("n"), F.sum("n_terms").alias("terms"), F.max("n_terms").alias("longest"), F.collect_set("part").alias("parts")), "benchmark-terms")
     total = counted.where("term is null").first()
     kept = materialize(spark, rows.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("rid")), "decontam-rows")
-    texts, hits = kept.select("rid", F.col("row.text").alias("text")), spark.createDataFrame([], "rid bigint, item_id bigint")
+    texts, hits = kept.select("rid", F.col("row.text").alias("text")), local_table(spark, rid=pa.array([], pa.int64()), item_id=pa.array([], pa.int64()))
     for k in range(passes if total else 0):
         df = counted.where(F.col("term").isNotNull() & F.array_contains("parts", F.lit(k).cast("bigint"))).select("term", "n")
         whole = Whole(total.n, total.terms, total.longest, tuple(sorted(map(tuple, df.collect()))))

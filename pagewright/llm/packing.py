@@ -18,7 +18,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import broadcast_if, map_batches, materialize, slices, warm
+from pagewright.llm.common import broadcast_if, local_table, map_batches, materialize, slices, warm
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 #: Word pieces that a worker remembers before it starts afresh.
@@ -186,6 +186,8 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer_path: str, window: int
     ``ids`` holds the piece's ids as little-endian unsigned 32-bit numbers. A piece's document ids are
     those of the text without special tokens, then ``end_id``.
     """
+    import pyarrow as pa
+
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     coded = map_batches(rows, _tokenize(tokenizer_path, end_id), "doc_id bigint, ids binary, n bigint, part int, before bigint")
     coded = materialize(spark, coded, "packing")
@@ -193,6 +195,6 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer_path: str, window: int
     for part, n in sorted(map(tuple, coded.groupBy("part").agg(F.sum("n")).collect())):  # a number for each task
         totals.append((part, at))
         at += n
-    bases = spark.createDataFrame(totals, "part int, base bigint")
+    bases = local_table(spark, part=pa.array([p for p, _ in totals], pa.int32()), base=pa.array([b for _, b in totals], pa.int64()))
     placed = coded.join(broadcast_if(bases, 32 * len(totals)), "part").select("doc_id", "ids", "n", (F.col("base") + F.col("before")).alias("start"))
     return map_batches(placed, _cut(window), PIECES)
